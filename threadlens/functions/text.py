@@ -29,11 +29,12 @@ def profile_tokens(text: Column) -> Column:
 
 def word_pairs(words: Column) -> Column:
     """Neighbouring words joined by a blank; none for fewer than two words."""
+    rest = F.size(words) - 1
     return F.when(
-        F.size(words) > 1,
-        F.transform(
-            F.slice(words, F.lit(1), F.size(words) - 1),
-            lambda word, i: F.concat(word, F.lit(" "), F.get(words, i + 1)),
+        rest > 0,
+        F.zip_with(
+            F.slice(words, F.lit(1), rest), F.slice(words, F.lit(2), rest),
+            lambda word, following: F.concat(word, F.lit(" "), following),
         ),
     ).otherwise(F.array().cast("array<string>"))
 
@@ -48,30 +49,20 @@ def with_grams(
     return df
 
 
-def with_term_counts(df: DataFrame, grams: str, out: str) -> DataFrame:
-    """Turn an array of terms into an array of (term, tf) without leaving the row.
+def with_marked_terms(df: DataFrame, grams: str, out: str) -> DataFrame:
+    """Add structs (term, first) in order; ``first`` is 1 for the first of equal terms, else 0.
 
-    The terms are sorted and cut where they change, so that a document's counts need
-    no shuffle by document and term.
+    Counting rows and adding up ``first`` by term gives occurrences and documents in one
+    aggregation, with no shuffle by document.
     """
-    words, starts = "_sorted_terms", "_run_starts"
-    size = F.size(words)
-    df = df.withColumn(words, F.array_sort(F.col(grams)))
-    df = df.withColumn(
-        starts,
-        F.when(
-            size > 0,
-            F.filter(
-                F.sequence(F.lit(0), size - 1),
-                lambda i: (i == 0) | (F.get(F.col(words), i) != F.get(F.col(words), i - 1)),
-            ),
-        ).otherwise(F.array().cast("array<int>")),
-    )
-    counts = F.transform(
-        F.col(starts),
-        lambda start, k: F.struct(
-            F.get(F.col(words), start).alias("term"),
-            (F.coalesce(F.get(F.col(starts), k + 1), size) - start).cast("bigint").alias("tf"),
+    ordered = F.col(out)  # a column of its own, so that the sort runs once
+    before = F.concat(F.array(F.lit(None).cast("string")), ordered)
+    marked = F.zip_with(
+        ordered, before,
+        lambda term, previous: F.struct(
+            term.alias("term"), F.when(term.eqNullSafe(previous), 0).otherwise(1).alias("first")
         ),
     )
-    return df.withColumn(out, counts).drop(words, starts)
+    # The shifted array is one longer.
+    first = F.slice(marked, F.lit(1), F.size(ordered))
+    return df.withColumn(out, F.sort_array(grams)).withColumn(out, first)

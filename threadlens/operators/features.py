@@ -11,7 +11,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.functions.text import with_grams, with_term_counts
+from threadlens.functions.text import with_grams, with_marked_terms
 from threadlens.functions.words import WORD
 from threadlens.operators.ranking import top_n_per_group
 
@@ -27,34 +27,30 @@ class TextOptions:
     pairs: bool = True
 
 
-def term_table(df: DataFrame, text: str, options: TextOptions, *keep: str) -> DataFrame:
-    """One row per document and distinct term: the ``keep`` columns, term, tf. No shuffle."""
+def _term_counts(df: DataFrame, text: str, options: TextOptions, *by: str) -> DataFrame:
+    """Documents (``df``) and occurrences (``total``) of each term that is in enough documents."""
     grams = with_grams(df, text, "_grams", options.pattern, options.stop, options.pairs)
-    counted = with_term_counts(grams, "_grams", "_counts")
-    return counted.select(*keep, F.inline("_counts"))
+    return (
+        with_marked_terms(grams, "_grams", "_terms")
+        # The outer form: for the plain one Spark adds a filter that makes all terms once more.
+        .select(*by, F.inline_outer("_terms"))
+        .filter(F.col("term").isNotNull())
+        .groupBy(*by, "term")
+        .agg(F.sum("first").alias("df"), F.count(F.lit(1)).alias("total"))
+        .filter(F.col("df") >= options.min_df)
+    )
 
 
 def vocabulary(df: DataFrame, text: str, options: TextOptions) -> DataFrame:
     """The most frequent terms: term, df (documents), total (occurrences), ties by term."""
-    return (
-        term_table(df, text, options)
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-        .filter(F.col("df") >= options.min_df)
-        .orderBy(F.desc("total"), "term")
-        .limit(options.max_features)
-    )
+    counts = _term_counts(df, text, options)
+    return counts.orderBy(F.desc("total"), "term").limit(options.max_features)
 
 
 def grouped_vocabulary(df: DataFrame, text: str, group: str, options: TextOptions) -> DataFrame:
     """A vocabulary per group, each with up to ``max_features`` terms."""
-    counts = (
-        term_table(df, text, options, group)
-        .groupBy(group, "term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-        .filter(F.col("df") >= options.min_df)
-    )
     order = [F.desc("total"), F.col("term")]
+    counts = _term_counts(df, text, options, group)
     return top_n_per_group(counts, [group], order, options.max_features).drop("_rank")
 
 
@@ -86,7 +82,7 @@ class TextModel:
         sparse = F.unwrap_udt("_v")
         return (
             self.vectors(df.select(key, text), text, "_v")
-            .select(key, F.inline(F.arrays_zip(
+            .select(key, F.inline_outer(F.arrays_zip(
                 sparse["indices"].alias("position"), sparse["values"].alias("weight"))))
             .join(names, "position")
             .select(key, "term", "weight")

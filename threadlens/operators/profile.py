@@ -108,7 +108,8 @@ def distinct_count(df: DataFrame, column: str) -> DataFrame:
 def top_tokens(df: DataFrame, text: str, n: int = 25) -> DataFrame:
     """The ``n`` most frequent tokens, ties by token."""
     return (
-        df.select(F.explode(profile_tokens(F.col(text))).alias("token"))
+        df.select(F.explode_outer(profile_tokens(F.col(text))).alias("token"))
+        .filter(F.col("token").isNotNull())
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "token")

@@ -51,3 +51,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work on a table that is read as a few small splits.
+
+    For tables as they are read, whose splits are known without running anything. A table
+    with at least as many splits as there are cores is not shuffled.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

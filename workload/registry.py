@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from threadlens.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -21,13 +23,20 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
-def query(name: str, sql: str | None = None) -> Callable:
+class SpreadTables(Tables):
+    """The same tables for work that is costly per row."""
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return spread(super().__getattr__(name))
+
+
+def query(name: str, sql: str | None = None, tables: type[Tables] = Tables) -> Callable:
     """Register a function of the tables; without ``sql`` only its rows can be looked at."""
 
     def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
+        QUERIES[name] = lambda spark, folder: build(tables(spark, folder))
         if sql is not None:
             ORACLES[name] = sql
         return build

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +19,11 @@ from threadlens.operators.retrieve import Retriever
 from threadlens.operators.sampling import random_rows
 from threadlens.session import scratch_path
 from workload.labels import SEED
-from workload.registry import Tables, query
+from workload.registry import SpreadTables, Tables
+from workload.registry import query as register
 from workload.views import view, with_views
 
+query = partial(register, tables=SpreadTables)
 STOP = tuple(sorted(PROFILE_STOP_WORDS))
 CLASSIFIER = TextOptions(max_features=10_000, min_df=2, stop=STOP)
 RETRIEVAL = TextOptions(max_features=5_000, min_df=1, stop=STOP)
