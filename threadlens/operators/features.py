@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +59,27 @@ def smooth_idf(documents, df) -> float:
     return math.log((1 + documents) / (1 + df)) + 1
 
 
+@dataclass(frozen=True)
+class Weights:
+    """A known vocabulary with its idf; turns arrays of terms into unit tf * idf vectors."""
+
+    counter: CountVectorizerModel
+    idf: tuple[float, ...]
+
+    @staticmethod
+    def of(spark: SparkSession, idf: dict[str, float]) -> Weights:
+        """The given terms; their order is the one Spark gives them and is kept from then on."""
+        known = spark.createDataFrame([(list(idf),)], "_grams array<string>")
+        counter = CountVectorizer(inputCol="_grams", outputCol="_tf", vocabSize=len(idf), minDF=1).fit(known)
+        return Weights(counter, tuple(idf[term] for term in counter.vocabulary))
+
+    def apply(self, df: DataFrame, out: str) -> DataFrame:
+        """Vectors of the terms in ``_grams``, row by row."""
+        scale = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="_tf", outputCol="_tfidf")
+        unit = Normalizer(p=2.0, inputCol="_tfidf", outputCol=out)
+        return unit.transform(scale.transform(self.counter.transform(df))).drop("_tf", "_tfidf")
+
+
 @dataclass(frozen=True)
 class TextModel:
     """A fitted vocabulary; documents are turned into unit vectors row by row.
@@ -67,13 +88,17 @@ class TextModel:
     """
 
     options: TextOptions
-    terms: tuple[str, ...]
-    idf: tuple[float, ...]
+    weighing: Weights
+
+    @property
+    def terms(self) -> list[str]:
+        """Terms by their position in a vector."""
+        return list(self.weighing.counter.vocabulary)
 
     def vectors(self, df: DataFrame, text: str, out: str = "features") -> DataFrame:
         """Add the TF-IDF vector of a text; a text without known terms gets a zero vector."""
         grams = with_grams(df, text, "_grams", self.options.pattern, self.options.stop, self.options.pairs)
-        return weigh(grams, "_grams", self.terms, self.idf, out).drop("_grams")
+        return self.weighing.apply(grams, out).drop("_grams")
 
     def weights(self, df: DataFrame, text: str, key: str) -> DataFrame:
         """Long form of the vectors: key, term, weight."""
@@ -89,35 +114,21 @@ class TextModel:
         )
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Write the vocabulary with its settings as Parquet."""
-        rows = [
-            (i, term, idf, self.options.pattern, list(self.options.stop), self.options.pairs,
-             self.options.max_features, self.options.min_df)
-            for i, (term, idf) in enumerate(zip(self.terms, self.idf))
-        ]
+        """Write the vocabulary, its idf and its settings below ``path``."""
+        o = self.options
+        self.weighing.counter.write().overwrite().save(f"{path}/counter")
+        row = (list(self.weighing.idf), o.max_features, o.min_df, o.pattern, list(o.stop), o.pairs)
         schema = (
-            "position int, term string, idf double, pattern string, stop array<string>, "
-            "pairs boolean, max_features int, min_df int"
+            "idf array<double>, max_features int, min_df int, pattern string, stop array<string>, pairs boolean"
         )
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
+        spark.createDataFrame([row], schema).write.mode("overwrite").parquet(f"{path}/settings")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> TextModel:
         """Read a saved vocabulary; nothing is fitted again."""
-        rows = spark.read.parquet(path).orderBy("position").collect()
-        first = rows[0]
-        options = TextOptions(first.max_features, first.min_df, first.pattern, tuple(first.stop), first.pairs)
-        return TextModel(options, tuple(r.term for r in rows), tuple(r.idf for r in rows))
-
-
-def weigh(
-    df: DataFrame, grams: str, terms: Sequence[str], idf: Sequence[float], out: str
-) -> DataFrame:
-    """Unit-length tf * idf vector of an array of terms."""
-    counter = CountVectorizerModel.from_vocabulary(list(terms), inputCol=grams, outputCol="_tf")
-    scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf")
-    unit = Normalizer(p=2.0, inputCol="_tfidf", outputCol=out)
-    return unit.transform(scale.transform(counter.transform(df))).drop("_tf", "_tfidf")
+        row = spark.read.parquet(f"{path}/settings").first()
+        options = TextOptions(row.max_features, row.min_df, row.pattern, tuple(row.stop), row.pairs)
+        return TextModel(options, Weights(CountVectorizerModel.load(f"{path}/counter"), tuple(row.idf)))
 
 
 def fit_text_model(df: DataFrame, text: str, options: TextOptions) -> TextModel:
@@ -126,7 +137,5 @@ def fit_text_model(df: DataFrame, text: str, options: TextOptions) -> TextModel:
     rows = vocabulary(df, text, options).collect()
     if not rows:
         raise ValueError("no term is in min_df documents; the vocabulary would be empty")
-    rows.sort(key=lambda r: r.term)
-    return TextModel(
-        options, tuple(r.term for r in rows), tuple(smooth_idf(documents, r.df) for r in rows)
-    )
+    idf = {r.term: smooth_idf(documents, r.df) for r in rows}
+    return TextModel(options, Weights.of(df.sparkSession, idf))

@@ -12,6 +12,8 @@ from threadlens.operators.lookup import broadcast_checked
 
 LABEL_COLUMNS = ("gold_intent", "gold_escalate", "escalate_reason", "labeler_notes")
 
+MAX_GOLDEN_IDS = 100_000
+
 
 def intent_names(taxonomy: DataFrame) -> DataFrame:
     """Distinct intents that take part in training, in order."""
@@ -78,8 +80,12 @@ def drop_missing(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, Dat
 
 
 def exclude_ids(pool: DataFrame, golden: DataFrame, key: str = "customer_tweet_id") -> DataFrame:
-    """Pool without the golden set's messages, ids compared without spreadsheet damage."""
+    """Pool without the golden set's messages, ids compared without spreadsheet damage.
+
+    The pool is not shuffled as long as the golden set has at most ``MAX_GOLDEN_IDS`` rows.
+    """
     ids = golden.select(normalize_id(F.col(key)).alias(key)).filter(F.col(key).isNotNull())
+    ids = broadcast_checked(ids, MAX_GOLDEN_IDS)
     return pool.withColumn(key, normalize_id(F.col(key))).join(ids, key, "left_anti")
 
 

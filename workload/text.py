@@ -95,7 +95,7 @@ def vectors(t: Tables) -> DataFrame:
     )
 
 
-@query("t3_kmeans_sweep")
+@register("t3_kmeans_sweep")
 def t3(t: Tables) -> DataFrame:
     found = cu.sweep_kmeans(vectors(t), "features", "vec_id", K_CANDIDATES, SEED)
     rows = [(k, cost, score, k == found.k) for k, cost, score in found.scores]
@@ -110,13 +110,13 @@ ab AS (SELECT vec_id, MAX(d) FILTER (other = label) AS a, MIN(d) FILTER (other <
 SELECT ROUND(AVG(CASE WHEN a IS NULL OR GREATEST(a, b) = 0 THEN 0 ELSE (b - a) / GREATEST(a, b) END), 6) AS silhouette FROM ab"""
 
 
-@query("t4_silhouette", _SILHOUETTE)
+@register("t4_silhouette", _SILHOUETTE)
 def t4(t: Tables) -> DataFrame:
     drawn = random_rows(t.embeddings, "vec_id", 1000, SEED)
     return cu.silhouette(drawn, "embedding", "label").withColumn("silhouette", F.round("silhouette", 6))
 
 
-@query("t5_nearest_centroid", """WITH p AS (SELECT label, i, AVG(v) AS m FROM (
+@register("t5_nearest_centroid", """WITH p AS (SELECT label, i, AVG(v) AS m FROM (
   SELECT label, UNNEST(embedding)::DOUBLE AS v, GENERATE_SUBSCRIPTS(embedding, 1) AS i FROM embeddings) GROUP BY label, i),
 c AS (SELECT label, LIST(m ORDER BY i) AS centroid FROM p GROUP BY label),
 d AS (SELECT vec_id, c.label, LIST_DISTANCE(embedding::DOUBLE[], centroid) AS d FROM embeddings, c)
@@ -127,7 +127,7 @@ def t5(t: Tables) -> DataFrame:
     return found.select("vec_id", "cluster_id", F.round("distance", 6).alias("distance"))
 
 
-@query("t5_assign_clusters")
+@register("t5_assign_clusters")
 def t5_model(t: Tables) -> DataFrame:
     rows = vectors(t)
     model = cu.fit_kmeans(rows, "features", 10, SEED, starts=3)
