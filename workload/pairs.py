@@ -36,7 +36,7 @@ _RAW_TYPED = f"""SELECT tweet_id, author_id, COALESCE(LOWER(inbound) IN ('true',
 
 def raw_tweets(t: Tables) -> DataFrame:
     """The message table as text, with dates in the export's format and some of them damaged."""
-    stamp = F.timestamp_seconds(F.col("created_s") + EPOCH)
+    stamp = F.to_utc_timestamp(F.timestamp_seconds(F.col("created_s") + EPOCH), F.current_timezone())
     written = F.concat(F.date_format(stamp, "EEE MMM dd HH:mm:ss"), F.lit(" +0000 "), F.date_format(stamp, "yyyy"))
     s = F.col("created_s")
     return view(t, "tweets").select(
