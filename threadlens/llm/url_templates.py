@@ -1,9 +1,9 @@
 """URL filters: rules for hosts and paths, and a path-template tree per host judged by labelled purity.
 
 A url's path is cut into segments in which every run of digits becomes ``#``. From the root of each host down,
-a node with more than ``most_children`` different segments gets one wildcard child; of other nodes' children
-those whose share of bad labels does not differ from the node's (a two-sided test at ``z``) are merged into one
-branch. What is left from the root to a leaf is the template. Its share of bad labels is smoothed with the weight
+a node with more than ``most_children`` different segments gets one wildcard child; of other nodes' children,
+in the order of their shares of bad labels, neighbours that a test of two proportions at ``z`` does not tell apart
+are merged into one branch. What is left from the root to a leaf is the template. Its share of bad labels is smoothed with the weight
 of ``prior`` urls towards the host's share, which is smoothed towards the share of all; templates at ``reject`` or
 above are blocked.
 
@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from threadlens.llm.common import ascii_lower, stored
@@ -80,25 +81,37 @@ def build_templates(
             at.filter("child is not null").groupBy("host", "template", "child").agg(*[F.sum(c).alias(c) for c in counts]),
             "url-children",
         )
-        nodes = children.groupBy("host", "template").agg(
-            F.count(F.lit(1)).alias("n_children"), F.sum("n_labelled").alias("all_labelled"), F.sum("n_bad").alias("all_bad"))
-        share = F.col("all_bad") / F.col("all_labelled")
-        gap = F.abs(F.col("n_bad") / F.col("n_labelled") - share)
-        alike = (F.col("n_labelled") == 0) | (gap <= z * F.sqrt(share * (1 - share) / F.col("n_labelled")))
-        name = (
-            F.when(F.col("n_children") > most_children, F.lit(WILD))
-            .when((F.col("n_children") > 1) & alike, F.lit(MERGED)).otherwise(F.col("child"))
-        )
-        named = stored(
-            children.join(stored(nodes, "url-nodes"), ["host", "template"]).select("host", "template", "child", name.alias("branch")),
-            "url-branches",
-        )
+        nodes = children.groupBy("host", "template").agg(F.count(F.lit(1)).alias("n_children"))
+        each = children.join(stored(nodes, "url-nodes"), ["host", "template"])
+        wild = each.filter(F.col("n_children") > most_children).select(
+            "host", "template", "child", F.lit(WILD).alias("branch"))
+        few = each.filter(F.col("n_children") <= most_children)
+        named = stored(wild.unionByName(_merged(few, z)), "url-branches")
         grown = at.join(named, ["host", "template", "child"], "left").withColumn(
             "next", F.when(F.col("child").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "branch")))
         rows = stored(grown.select("host", "shape", *counts, "parts", F.col("next").alias("template")), "url-shapes")
     return rows.drop("parts")
 
 
+def _merged(children: DataFrame, z: float) -> DataFrame:
+    """The branch of each child of nodes with few children (so that a window sees few rows).
+
+    In the order of their shares of bad labels, a child begins a new branch where a test of two proportions
+    tells it from the one before. Children without labels are one branch. A child alone keeps its name.
+    """
+    node = ["host", "template"]
+    in_order = W.partitionBy(*node, F.col("n_labelled") > 0).orderBy(F.col("n_bad") / F.col("n_labelled"), "child")
+    last_n, last_bad = (F.lag(c).over(in_order) for c in ("n_labelled", "n_bad"))
+    share = (last_bad + F.col("n_bad")) / (last_n + F.col("n_labelled"))
+    gap = F.col("n_bad") / F.col("n_labelled") - last_bad / last_n
+    apart = gap > z * F.sqrt(share * (1 - share) * (1 / last_n + 1 / F.col("n_labelled")))
+    parts = children.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int")).withColumn(
+        "part", F.when(F.col("n_labelled") > 0, F.sum("apart").over(in_order)).otherwise(-1))
+    alone = F.count(F.lit(1)).over(W.partitionBy(*node, "part")) == 1
+    name = F.when(alone, F.col("child")).otherwise(F.concat(F.lit(MERGED), F.col("part").cast("string")))
+    return parts.select(*node, "child", name.alias("branch"))
+
+
 def blocked_shapes(templates: DataFrame, *, prior: float = 10.0, reject: float = 0.5) -> DataFrame:
     """``host``, ``shape``, ``template``, its smoothed ``purity`` (share of bad) and ``blocked``."""
     leaves = stored(templates.groupBy("host", "template").agg(
