@@ -100,11 +100,12 @@ def _merged(children: DataFrame, z: float) -> DataFrame:
     tells it from the one before. Children without labels are one branch. A child alone keeps its name.
     """
     node = ["host", "template"]
-    in_order = W.partitionBy(*node, F.col("n_labelled") > 0).orderBy(F.col("n_bad") / F.col("n_labelled"), "child")
+    rate = F.try_divide("n_bad", "n_labelled")
+    in_order = W.partitionBy(*node, F.col("n_labelled") > 0).orderBy(rate, "child")
     last_n, last_bad = (F.lag(c).over(in_order) for c in ("n_labelled", "n_bad"))
-    share = (last_bad + F.col("n_bad")) / (last_n + F.col("n_labelled"))
-    gap = F.col("n_bad") / F.col("n_labelled") - last_bad / last_n
-    apart = gap > z * F.sqrt(share * (1 - share) * (1 / last_n + 1 / F.col("n_labelled")))
+    share = F.try_divide(last_bad + F.col("n_bad"), last_n + F.col("n_labelled"))
+    spread = F.try_divide(F.lit(1), last_n) + F.try_divide(F.lit(1), F.col("n_labelled"))
+    apart = rate - F.try_divide(last_bad, last_n) > z * F.sqrt(share * (1 - share) * spread)
     parts = children.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int")).withColumn(
         "part", F.when(F.col("n_labelled") > 0, F.sum("apart").over(in_order)).otherwise(-1))
     alone = F.count(F.lit(1)).over(W.partitionBy(*node, "part")) == 1
