@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from threadlens.session import scratch_path
 
+SLICE_ROWS = 250
 ARROW_TYPES = {
     "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
     "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()),
@@ -36,6 +37,13 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path)
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of few rows, so that what is made from texts at a time stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 def per_text(
     table: DataFrame, keep: Sequence[str], text: str, fields: dict[str, str],
     make: Callable[[], Callable[[list], Sequence[Sequence]]], *, binary: bool = False,
@@ -56,7 +64,7 @@ def per_text(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in slices(batches):
             found = work(batch.column(width).to_pylist())
             made = [pa.array(values, type=t) for values, t in zip(found, types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(width)] + made, names=names)
@@ -71,7 +79,10 @@ def text_column(text: str, kind: str, make: Callable[[], Callable[[list], Sequen
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         work = make()
         for batch in batches:
-            yield pd.Series(work(batch.tolist()))
+            made: list = []
+            for start in range(0, len(batch), SLICE_ROWS):
+                made.extend(work(batch.iloc[start:start + SLICE_ROWS].tolist()))
+            yield pd.Series(made)
 
     value = F.coalesce(F.col(text), F.lit(""))
     return run(value.cast("binary") if binary else value)

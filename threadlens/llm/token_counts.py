@@ -15,6 +15,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from threadlens.llm.common import per_text
 
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 600_000
 #: Characters with the same class and case in all Unicode versions in use; chunks with any other are
 #: normalised and split by the library before they are merged here.
 USUAL = "\x00-\x1b\x20-\u024f\u2000-\u206f\u20ac"
@@ -118,14 +119,18 @@ class _Known(dict):
         return 0
 
 
+@lru_cache(maxsize=1)
 def text_counter(path: str) -> Callable[[list[str]], list[int]]:
-    """Token counts of texts; chunks met before are taken from a table that is emptied when large."""
+    """Token counts of texts; chunks met before are taken from a table of the worker process.
+
+    When it gets large, it keeps the chunks met since it last did.
+    """
     from tokenizers import Tokenizer
 
     table, library = MergeTable(path), Tokenizer.from_file(path)
     parts = re.compile("|".join([*CONTRACTIONS, f"[{_class('L')}]+", f"[{_class('N')}]", rf"[^\s{_class('L')}{_class('N')}]+"]))
     special = re.compile("|".join(map(re.escape, table.special))) if table.special else None
-    known = _Known()
+    known, older = _Known(), _Known()
 
     def pre_tokens(chunk: str) -> list[bytes]:
         if not UNUSUAL.search(chunk):
@@ -134,7 +139,9 @@ def text_counter(path: str) -> Callable[[list[str]], list[int]]:
         return [bytes(table.byte_of[c] for c in piece) for piece, _ in split]
 
     def learn(chunks: set[str]) -> None:
-        new = list(chunks)
+        found = [c for c in chunks if c in older]
+        known.update((c, older[c]) for c in found)
+        new = list(chunks.difference(found))
         words = [pre_tokens(c) for c in new]
         each = list({w for ws in words for w in ws})
         count = dict(zip(each, table.count(each).tolist()))
@@ -154,8 +161,9 @@ def text_counter(path: str) -> Callable[[list[str]], list[int]]:
         return out, extra
 
     def count(texts: list[str]) -> list[int]:
+        nonlocal known, older
         if len(known) > CACHE_CHUNKS:
-            known.clear()
+            known, older = _Known(), known
         known.missed, totals, spans = [], [], []
         for text in texts:
             chunks, extra = chunks_of(text)

@@ -25,6 +25,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import stored
+from threadlens.llm.common import slices, stored
 from threadlens.session import scratch_path
 
 # Fixed values of the zstandard formats.
@@ -52,22 +53,25 @@ MANIFEST = "file string, first_key bigint, first_order bigint, n_documents bigin
 UNUSUAL = re.compile("[^\n\x20-\x7e\xa1-\u024f\u2010-\u2027\u20ac]")
 #: Runs of white space, in which the library's splitting looks ahead.
 RUNS = ("  ", " \n", "\n ", "\n\n")
-CACHE_UNITS = 600_000
+CACHE_UNITS = 500_000
 LINE_START = "\x00"
 
 
+@lru_cache(maxsize=1)
 def text_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Ids of texts as the tokenizers library gives them, as bytes, each unit encoded once.
 
     For byte-level vocabularies, whose splitting never looks across a unit: the characters between two
-    blanks or line feeds, with the blank before them. Units found before are taken from a table that is
-    emptied when it gets large. Texts with unusual characters or runs of white space go in as a whole.
+    blanks or line feeds, with the blank before them. Units found before are taken from a table that lives as
+    long as the worker process; when it gets large, it keeps those met since it last did. Texts with unusual
+    characters or runs of white space go in as a whole.
     """
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
     special = [t.content for t in library.get_added_tokens_decoder().values()]
     known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
 
     def ids(texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -80,12 +84,16 @@ def text_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
 
     def learn(units: list[str]) -> None:
         """A unit has a blank before it, unless it begins a line or is the line feed."""
+        nonlocal known, older
+        if len(known) > CACHE_UNITS:
+            known, older = {}, known
+        found = list(map(older.get, units))
+        known.update((u, f) for u, f in zip(units, found) if f is not None)
+        units = [u for u, f in zip(units, found) if f is None]
         plain = [u[1:] if u[0] == LINE_START else u if u == "\n" else " " + u for u in units]
         known.update(zip(units, ids(plain)))
 
     def encode(texts: list[str]) -> list[bytes]:
-        if len(known) > CACHE_UNITS:
-            known.clear()
         out: list[bytes] = [b""] * len(texts)
         direct, waiting, new = [], [], set()
         for i, text in enumerate(texts):
@@ -95,13 +103,13 @@ def text_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
             units = (LINE_START + text.replace("\n", " \n " + LINE_START)).split(" ")
             found = list(map(known.get, units))
             if None in found:
-                waiting.append((i, units))
+                waiting.append((i, units, found))
                 new.update(u for u, f in zip(units, found) if f is None)
             else:
                 out[i] = b"".join(found)
         learn(list(new))
-        for i, units in waiting:
-            out[i] = b"".join(map(known.__getitem__, units))
+        for i, units, found in waiting:
+            out[i] = b"".join([known[u] if f is None else f for u, f in zip(units, found)])
         for i, found in zip(direct, ids([texts[i] for i in direct])):
             out[i] = found
         return out
@@ -206,9 +214,7 @@ def write_token_files(
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, writer, uri, first = text_encoder(tokenizer), None, "", None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             keys = batch.column(0).to_pylist()
             if writer is None:
                 uri = f"{folder}/ids-{uuid.uuid4().hex}.zst"

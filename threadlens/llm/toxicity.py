@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import free_name, per_text, stored, text_column
+from threadlens.llm.common import free_name, per_text, slices, stored, text_column
 
 MAX_ROWS = 200_000
 BUCKETS = 1 << 21
@@ -56,6 +56,8 @@ _NOISE = set(".-_'’·~^`,:;/\\\"=<>[]{}")
 _TRIM = ".,;:!?\"'()[]{}<>…-–—_*|+=~^`/\\&%#«»“”„’‘·"
 _SPACED = re.compile(r"(?<![^\s])[^\W_](?:[ .\-_*·]{1,2}[^\W_]){2,}(?![^\W_])")
 _SUSPECT = re.compile(r"[^a-zß-öø-ÿ]|(.)\1\1")
+_RUN = re.compile(r"(.)\1\1")
+_EDGE_RUNS = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$")
 
 
 def class_of(text: str) -> list[int]:
@@ -189,80 +191,141 @@ def decode(positions: Sequence[Sequence[Option]], cost: np.ndarray) -> str:
     return "".join(reversed(parts)).strip()
 
 
-class Restorer:
-    """Restored words of texts; words met before are taken from a table that is emptied when large."""
-
-    def __init__(self, cost: np.ndarray, limit: int = 500_000):
-        self.cost, self.limit, self.known = cost, limit, {}
-
-    def word(self, word: str) -> tuple[str, ...]:
-        """Restored words of one white-space separated word in lower case."""
-        bare = word.strip(_TRIM)
-        if not bare.isalpha():
-            core = re.sub(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$", "", word).strip(".,;:?\"'()[]{}<>…–—&%#=~`«»“”„’‘")
-            core = core.rstrip("!*|+-_/\\").lstrip("*|+-_/\\")
-            if any(c in _CLASS for c in core) and _SUSPECT.search(core):
-                return tuple(decode(lattice(core), self.cost).split())
-            return (bare,) if bare else ()
-        if _SUSPECT.search(bare) and re.search(r"(.)\1\1", bare):
-            return tuple(decode(lattice(bare), self.cost).split())
-        return (bare,)
-
-    def words(self, text: str) -> set[str]:
-        """All distinct restored words of a text."""
-        low, found, known = text.lower(), set(), self.known
-        for run in _SPACED.findall(low):
-            found.update(decode(spaced_lattice(run), self.cost).split())
-        for word in set(low.split()):
-            restored = known.get(word)
-            if restored is None:
-                restored = known[word] = self.word(word)
-            found.update(restored)
-        if len(known) > self.limit:
-            known.clear()
-        return found
+def restore_word(word: str, cost: np.ndarray) -> tuple[str, ...]:
+    """Restored words of one white-space separated word in lower case."""
+    bare = word.strip(_TRIM)
+    if bare.isalpha():
+        return tuple(decode(lattice(bare), cost).split()) if _RUN.search(bare) else (bare,)
+    core = _EDGE_RUNS.sub("", word).strip(".,;:?\"'()[]{}<>…–—&%#=~`«»“”„’‘").rstrip("!*|+-_/\\").lstrip("*|+-_/\\")
+    if any(c in _CLASS for c in core) and _SUSPECT.search(core):
+        return tuple(decode(lattice(core), cost).split())
+    return (bare,) if bare else ()
 
 
 def restore_text(text: str, cost: np.ndarray) -> str:
     """A text with its suspicious words and runs replaced by what they decode to, in lower case."""
-    restorer = Restorer(cost)
     joined = _SPACED.sub(lambda m: decode(spaced_lattice(m[0]), cost), text.lower())
-    return " ".join(w for part in joined.split() for w in restorer.word(part))
+    return " ".join(w for part in joined.split() for w in restore_word(part, cost))
+
+
+class Words:
+    """Numbers of the distinct restored words of texts, and each word's hash buckets.
+
+    Words met before are taken from tables of the worker process, which are emptied when they get large.
+    """
+
+    def __init__(self, cost: np.ndarray, limit: int = 600_000):
+        self.cost, self.limit = cost, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}  # by word as written: a number, or -1 - the place in ``several``
+        self.several: list[tuple[int, ...]] = [()]
+        self.number: dict[str, int] = {}
+        self.rows: list[list[int]] = []
+        self.table = np.zeros((0, len(PREFIXES) + 1), np.int32)
+
+    def numbers_of(self, words: Iterable[str]) -> tuple[int, ...]:
+        out = []
+        for word in words:
+            number = self.number.get(word)
+            if number is None:
+                number = self.number[word] = len(self.number)
+                self.rows.append(buckets_of(word))
+            out.append(number)
+        return tuple(out)
+
+    def learn(self, words: Iterable[str]) -> None:
+        for word in words:
+            numbers = self.numbers_of(restore_word(word, self.cost))
+            if len(numbers) == 1:
+                self.known[word] = numbers[0]
+            elif not numbers:
+                self.known[word] = -1
+            else:
+                self.known[word] = -1 - len(self.several)
+                self.several.append(numbers)
+
+    def buckets(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Per text an array with a row of buckets for each of its distinct restored words."""
+        if len(self.known) > self.limit:
+            self.clear()
+        split, new, runs = [], set(), []
+        for text in texts:
+            low = text.lower()
+            words = set(low.split())
+            found = list(map(self.known.get, words))
+            if None in found:
+                new.update(w for w, f in zip(words, found) if f is None)
+            split.append(words)
+            runs.append([decode(spaced_lattice(r), self.cost).split() for r in _SPACED.findall(low)])
+        self.learn(new)
+        numbers = []
+        for words, spaced in zip(split, runs):
+            found = set(map(self.known.__getitem__, words))
+            for code in [f for f in found if f < 0]:
+                found.discard(code)
+                found.update(self.several[-1 - code])
+            for run in spaced:
+                found.update(self.numbers_of(run))
+            numbers.append(found)
+        if self.rows:
+            self.table = np.concatenate([self.table, np.array(self.rows, np.int32)]) if len(self.table) else np.array(self.rows, np.int32)
+            self.rows = []
+        return [self.table[np.fromiter(n, np.int64, len(n))] for n in numbers]
+
+
+_held: list = [None, None]
+
+
+def words_for(cost: np.ndarray) -> Words:
+    """The worker process's tables for a character model; a new model gets new ones."""
+    if _held[0] is not cost:
+        _held[:] = [cost, Words(cost)]
+    return _held[1]
 
 
 # 3. evidence and score
 
 
 def buckets_of(word: str) -> list[int]:
-    """Hash buckets of a word's beginnings, shortest first, and of the word itself."""
-    code = word.encode()
-    starts = [word[:n].encode() for n in PREFIXES if n < len(word)]
-    return [zlib.crc32(s) % BUCKETS for s in starts] + [zlib.crc32(b"=" + code) % BUCKETS]
+    """Hash buckets of a word's beginnings and of the word itself; BUCKETS where it is too short."""
+    code = word.encode("utf-16-le", "surrogatepass")
+    out, crc, at = [], 0, 0
+    for n in PREFIXES:
+        if n < len(word):
+            crc, at = zlib.crc32(code[at:2 * n], crc), 2 * n
+            out.append(crc % BUCKETS)
+        else:
+            out.append(BUCKETS)
+    return out + [zlib.crc32(b"=", zlib.crc32(code[at:], crc)) % BUCKETS]
 
 
 @dataclass
 class Evidence:
-    """Counts of toxic and other documents per bucket, and the share of toxic ones among all."""
+    """Counts of toxic and other documents per bucket (the last is for no bucket), and the toxic share of all."""
 
     toxic: np.ndarray
     other: np.ndarray
     base: float
 
-    def word(self, buckets: Sequence[int], own_toxic: int = 0, own_other: int = 0) -> float:
-        """Log odds of a word over the base's, without the given own counts of a document."""
-        share = self.base
-        for b in buckets:
-            t, o = self.toxic[b] - own_toxic, self.other[b] - own_other
+    def of(self, buckets: np.ndarray, own_toxic: int = 0, own_other: int = 0) -> np.ndarray:
+        """Log odds over the base's of words, a row of buckets each, without a document's own counts."""
+        share = np.full(len(buckets), self.base)
+        for b in buckets.T:
+            real = b < BUCKETS
+            t, o = self.toxic[b] - own_toxic * real, self.other[b] - own_other * real
             share = (t + STRENGTH * share) / (t + o + STRENGTH)
-        share = min(max(share, 1e-6), 1 - 1e-6)
-        return math.log(share / (1 - share)) - math.log(self.base / (1 - self.base))
+        share = np.clip(share, 1e-6, 1 - 1e-6)
+        return np.log(share / (1 - share)) - math.log(self.base / (1 - self.base))
 
 
-def summary(evidence: list[float]) -> list[float]:
+def summary(evidence: np.ndarray) -> list[float]:
     """What the logistic model sees of a document: its strongest evidences, their sum, and its length."""
-    strong = sorted((e for e in evidence if e > 0), reverse=True)[:TOP]
-    top = strong + [0.0] * (TOP - len(strong))
-    return [top[0], top[1], top[2], sum(top), float(sum(e > 2 for e in top)), math.log1p(len(evidence))]
+    top = np.zeros(TOP)
+    strong = np.sort(evidence[evidence > 0])[::-1][:TOP]
+    top[:len(strong)] = strong
+    return [float(top[0]), float(top[1]), float(top[2]), float(top.sum()), float((top > 2).sum()), math.log1p(len(evidence))]
 
 
 N_SUMMARY = 6
@@ -317,19 +380,16 @@ def train(
     labelled = texts.join(F.broadcast(chosen), F.col("_key") == F.col("_label_key")).select("_label", "_body")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(shared_cost.value)
-        total = np.zeros((2, BUCKETS), np.int64)
+        words = words_for(shared_cost.value)
+        total = np.zeros((2, BUCKETS + 1), np.int32)
         rows = [0, 0]
-        for batch in batches:
-            for y, one in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                y = int(y > 0)
-                rows[y] += 1
-                found = {b for w in restorer.words(one) for b in buckets_of(w)}
-                total[y, list(found)] += 1
-        used = np.flatnonzero(total.any(axis=0))
-        cells = np.append(used, -1)
+        for batch in slices(batches):
+            for y, rows_of in zip(batch.column(0).to_pylist(), words.buckets(batch.column(1).to_pylist())):
+                rows[y > 0] += 1
+                total[int(y > 0), np.unique(rows_of)] += 1
+        used = np.flatnonzero(total[:, :BUCKETS].any(axis=0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cells), pa.array(np.append(total[1, used], rows[1])), pa.array(np.append(total[0, used], rows[0]))],
+            [pa.array(np.append(used, -1)), *(pa.array(np.append(total[y, used], rows[y]).astype(np.int64)) for y in (1, 0))],
             names=["bucket", "toxic", "other"],
         )
 
@@ -339,20 +399,20 @@ def train(
     found = sums.toArrow().to_pandas().astype("int64").set_index("bucket")
     n1, n0 = (int(found.loc[-1, c]) if -1 in found.index else 0 for c in ("toxic", "other"))
     found = found[found.index >= 0]
-    evidence = Evidence(np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32), (n1 + 0.5) / (n1 + n0 + 1))
+    empty = np.zeros(BUCKETS + 1, np.int32)
+    evidence = Evidence(empty, empty.copy(), (n1 + 0.5) / (n1 + n0 + 1))
     evidence.toxic[found.index.to_numpy()] = found["toxic"].to_numpy()
     evidence.other[found.index.to_numpy()] = found["other"].to_numpy()
     shared = context.broadcast((cost, evidence))
 
     def summarise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cost_, known = shared.value
-        restorer = Restorer(cost_)
-        for batch in batches:
+        words = words_for(cost_)
+        for batch in slices(batches):
             rows = []
-            for y, one in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for y, rows_of in zip(batch.column(0).to_pylist(), words.buckets(batch.column(1).to_pylist())):
                 y = int(y > 0)
-                words = [known.word(buckets_of(w), y, 1 - y) for w in restorer.words(one)]
-                rows.append([float(y), *summary(words)])
+                rows.append([float(y), *summary(known.of(rows_of, y, 1 - y))])
             columns = zip(*rows) if rows else [[] for _ in range(N_SUMMARY + 1)]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.float64()) for c in columns], names=names)
 
@@ -369,21 +429,14 @@ def scorer(shared: Broadcast) -> Callable[[], Callable[[list[str]], list[float]]
 
     def make() -> Callable[[list[str]], list[float]]:
         model: Model = shared.value
-        restorer, known = Restorer(model.cost), {}
-
-        def score(text: str) -> float:
-            evidence = []
-            for word in restorer.words(text):
-                value = known.get(word)
-                if value is None:
-                    value = known[word] = model.evidence.word(buckets_of(word))
-                evidence.append(value)
-            if len(known) > restorer.limit:
-                known.clear()
-            z = float(np.dot(model.weights[:-1], summary(evidence)) + model.weights[-1])
-            return 1 / (1 + math.exp(-min(max(z, -30.0), 30.0)))
-
-        return lambda texts: [score(t) for t in texts]
+        words = words_for(model.cost)
+
+        def score(texts: list[str]) -> list[float]:
+            seen = np.array([summary(model.evidence.of(b)) for b in words.buckets(texts)]).reshape(-1, N_SUMMARY)
+            z = np.clip(seen @ model.weights[:-1] + model.weights[-1], -30, 30)
+            return (1 / (1 + np.exp(-z))).tolist()
+
+        return score
 
     return make
 
