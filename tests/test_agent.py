@@ -63,6 +63,8 @@ def test_incomplete_labels_are_refused(spark):
     ('  ```\n{"reply": "r", "escalate": false}\n```  ', "r", False),
     ("{}", None, None), ("", None, True), (None, None, True), ("no json", None, True),
     ('{"reply": "r", "escalate": "maybe"}', None, True),
+    ('{"reply": "r", "escalate": false} Hope that helps!', None, True), ("{'reply': 'r', 'escalate': false}", None, True),
+    ('```json\n{"reply": "r", "escalate": false}\n```\nLet me know', None, True), ('{"reply": "r", "escalate": false', None, True),
 ])
 def test_agent_answers(spark, raw, reply, escalate):
     df = spark.createDataFrame([(raw,)], "raw string")
@@ -102,7 +104,7 @@ def test_agent_end_to_end(spark):
         return json.dumps({"reply": "try this", "escalate": "hello" in prompt, "escalate_reason": "r"})
 
     found = {r["example_id"]: r for r in ag.run_agent(
-        messages, "example_id", "the brand", classifier, retriever, answer, "stub").collect()}
+        messages, "example_id", "the brand", classifier, retriever, answer, "stub", "Hand over what is unclear.").collect()}
     assert set(found) == {"e1", "e2", "e4"}
     assert (found["e1"]["intent"], found["e1"]["num_exemplars_found"], found["e1"]["escalate"]) == ("power", 3, False)
     assert (found["e2"]["intent"], found["e2"]["escalate"]) == ("display", True)
@@ -120,3 +122,30 @@ def test_resumed_runs_do_each_row_once(spark, tmp_path):
     assert runs == {"first": 5, "second": 15}
     resume.append_new(rows, path, "example_id", tag("third"), restart=True, commits=2)
     assert {r["run"]: r["count"] for r in spark.read.parquet(path).groupBy("run").count().collect()} == {"third": 20}
+
+
+def test_a_repeated_id_is_done_once(spark, tmp_path):
+    path = str(tmp_path / "repeated")
+    rows = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y")], "example_id string, body string")
+    resume.append_new(rows, path, "example_id", lambda df: df)
+    assert sorted(r["example_id"] for r in spark.read.parquet(path).collect()) == ["a", "b"]
+
+
+def test_a_failing_answer_becomes_null(spark):
+    from threadlens.operators.scoring import score_texts
+
+    def answer(prompt: str) -> str:
+        if prompt == "bad":
+            raise RuntimeError("no answer")
+        return prompt.upper()
+
+    rows = spark.createDataFrame([("ok",), ("bad",), (None,)], "prompt string")
+    found = {r["prompt"]: (r["response"], r["response_error"]) for r in score_texts(rows, "prompt", answer, "stub").collect()}
+    assert found == {"ok": ("OK", None), "bad": (None, "RuntimeError: no answer"), None: (None, None)}
+
+
+def test_white_space_of_any_kind_is_trimmed(spark):
+    from threadlens.functions.scalars import first_listed_id, to_bool
+
+    df = spark.createDataFrame([("True\n", "\t12\n,13")], "a string, b string")
+    assert tuple(df.select(to_bool(F.col("a")), first_listed_id(F.col("b"))).first()) == (True, "12")

@@ -25,9 +25,14 @@ def parse_inbound(value: Column) -> Column:
     return F.coalesce(F.lower(value).isin("true", "1"), F.lit(False))
 
 
+def strip_space(text: Column) -> Column:
+    """Text without leading and trailing white space of any kind."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def to_bool(value: Column) -> Column:
     """Tolerant boolean: null where the text is none of the known spellings."""
-    text = F.lower(F.trim(value.cast("string")))
+    text = F.lower(strip_space(value.cast("string")))
     return (
         F.when(text.isin("true", "1", "1.0"), F.lit(True))
         .when(text.isin("false", "0", "0.0"), F.lit(False))
@@ -41,7 +46,7 @@ def normalize_id(value: Column) -> Column:
 
 def first_listed_id(value: Column) -> Column:
     """First entry of a comma-separated id list."""
-    return F.trim(F.split_part(value, F.lit(","), F.lit(1)))
+    return strip_space(F.split_part(value, F.lit(","), F.lit(1)))
 
 
 def seconds_between(start: Column, end: Column) -> Column:

@@ -58,8 +58,8 @@ def build_pairs(tweets: DataFrame, brand: str, rows_per_split: int = ROWS_PER_SP
         F.col("tweet_id").alias("brand_tweet_id"),
         F.col("text").alias("brand_text"),
         F.col("created_at").alias("brand_created_at"),
-        # Fixed at the scan and carried along: tells copies of one reply apart.
-        F.monotonically_increasing_id().alias("_seat"),
+        # From the row's own values, so that a task run again deals it to the same slot.
+        F.xxhash64("tweet_id", "created_at", "text").alias("_seat"),
     )
     answered = replies.select(F.col("customer_tweet_id").alias("tweet_id")).distinct()
     customers = (

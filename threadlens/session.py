@@ -27,7 +27,8 @@ def build_session(name: str = "threadlens", master: str | None = None, **conf: s
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    A local temporary folder is used only where the setting is absent, as in tests.
+    A local temporary folder is used only where the setting is absent and the master is local, as in tests;
+    on a cluster the executors would not share it, so the setting is required there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -35,6 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     folder = tempfile.mkdtemp(prefix="threadlens-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

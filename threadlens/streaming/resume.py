@@ -23,8 +23,16 @@ def finished(spark: SparkSession, path: str, key: str) -> DataFrame | None:
 
 
 def pending(rows: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
-    """Rows whose id is not in the output yet."""
-    return rows if done is None else rows.join(done.select(key), key, "left_anti")
+    """Rows whose id is not in the output yet; ids are compared as text."""
+    if done is None:
+        return rows
+    seen = done.select(F.col(key).cast("string").alias("_done"))
+    return rows.join(seen, F.col(key).cast("string") == F.col("_done"), "left_anti")
+
+
+def once(rows: DataFrame, key: str) -> DataFrame:
+    """One row per id, so that a repeated id is worked on once."""
+    return rows.dropDuplicates([key])
 
 
 def append_new(
@@ -42,7 +50,7 @@ def append_new(
         todo = rows if fresh else pending(rows, finished(spark, path, key), key)
         if commits > 1:
             todo = todo.filter(part == number)
-        work(todo).write.mode("overwrite" if fresh else "append").parquet(path)
+        work(once(todo, key)).write.mode("overwrite" if fresh else "append").parquet(path)
 
 
 def append_stream(
@@ -57,7 +65,7 @@ def append_stream(
 
     def write(batch: DataFrame, _number: int) -> None:
         todo = pending(batch, finished(batch.sparkSession, path, key), key)
-        work(todo).write.mode("append").parquet(path)
+        work(once(todo, key)).write.mode("append").parquet(path)
 
     query = (
         stream.writeStream.foreachBatch(write)

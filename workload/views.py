@@ -64,11 +64,16 @@ FROM {documents}
 """
 
 RESPONSES = """
-SELECT doc_id AS example_id, CASE doc_id%7
+SELECT doc_id AS example_id, CASE doc_id%12
   WHEN 0 THEN CONCAT('```json', CHR(10), '{{"reply":"', lang, '","escalate":true}}', CHR(10), '```')
   WHEN 1 THEN CONCAT('{{"reply":"ok","escalate":false,"escalate_reason":"', source, '"}}')
   WHEN 2 THEN 'sorry, no' WHEN 3 THEN '' WHEN 4 THEN CONCAT(' I think it is ', UPPER(lang), '. ')
   WHEN 5 THEN CONCAT('{{"correctness":', CAST(1+n_chars%5 AS STRING), ',"tone":4,"actionability":2,"rationale":"', lang, '"}}')
+  WHEN 6 THEN CONCAT('{{"reply":"', lang, '","escalate":false}} Hope that helps!')
+  WHEN 7 THEN CONCAT('{{''reply'':''', lang, ''',''escalate'':false}}')
+  WHEN 8 THEN CONCAT('```json', CHR(10), '{{"reply":"r","escalate":false}}', CHR(10), '```', CHR(10), 'Let me know')
+  WHEN 9 THEN CONCAT('{{"correctness":4.0,"tone":', CAST(1+n_chars%4 AS STRING), '.5,"actionability":3,"rationale":"', lang, '"}}')
+  WHEN 10 THEN '{{"reply":"r","escalate":false'
   ELSE 'Battery Drain' END AS raw,
   CASE WHEN doc_id%11=0 THEN NULL WHEN doc_id%11=1 THEN '' ELSE CONCAT('reply to ', source) END AS reply
 FROM {documents}
