@@ -37,6 +37,18 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path)
 
 
+_held: list = [None, None, None]
+
+
+def held(kind: str, mark: object, make: Callable[[], object]) -> object:
+    """A table that a worker process keeps between tasks; it keeps one at a time and drops the one before."""
+    same = _held[1] is mark or (isinstance(mark, str) and isinstance(_held[1], str) and _held[1] == mark)
+    if _held[0] != kind or not same:
+        _held[:] = [None, None, None]
+        _held[:] = [kind, mark, make()]
+    return _held[2]
+
+
 def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of few rows, so that what is made from texts at a time stays small."""
     for batch in batches:

@@ -15,13 +15,12 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import per_text
+from threadlens.llm.common import held, per_text
 
 CACHE_CHUNKS = 600_000
 #: Characters with the same class and case in all Unicode versions in use; chunks with any other are
@@ -119,7 +118,6 @@ class _Known(dict):
         return 0
 
 
-@lru_cache(maxsize=1)
 def text_counter(path: str) -> Callable[[list[str]], list[int]]:
     """Token counts of texts; chunks met before are taken from a table of the worker process.
 
@@ -181,7 +179,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text:
     """One row per row of ``docs``: the key, ``n_bytes`` (UTF-8) and ``n_tokens`` of the whole text."""
 
     def make() -> Callable[[list[str]], list[list[int]]]:
-        count = text_counter(tokenizer)
+        count = held("counter", tokenizer, lambda: text_counter(tokenizer))
         return lambda texts: [[len(t.encode()) for t in texts], count(texts)]
 
     return per_text(docs, [key], text, {"n_bytes": "bigint", "n_tokens": "bigint"}, make)

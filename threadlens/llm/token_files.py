@@ -25,7 +25,6 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import slices, stored
+from threadlens.llm.common import held, slices, stored
 from threadlens.session import scratch_path
 
 # Fixed values of the zstandard formats.
@@ -57,7 +56,6 @@ CACHE_UNITS = 500_000
 LINE_START = "\x00"
 
 
-@lru_cache(maxsize=1)
 def text_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Ids of texts as the tokenizers library gives them, as bytes, each unit encoded once.
 
@@ -213,7 +211,8 @@ def write_token_files(
     end = struct.pack("<I", end_id)
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, writer, uri, first = text_encoder(tokenizer), None, "", None
+        writer, uri, first = None, "", None
+        encode = held("encoder", tokenizer, lambda: text_encoder(tokenizer))
         for batch in slices(batches):
             keys = batch.column(0).to_pylist()
             if writer is None:

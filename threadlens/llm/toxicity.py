@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import free_name, per_text, slices, stored, text_column
+from threadlens.llm.common import free_name, held, per_text, slices, stored, text_column
 
 MAX_ROWS = 200_000
 BUCKETS = 1 << 21
@@ -214,7 +214,7 @@ class Words:
     Words met before are taken from tables of the worker process, which are emptied when they get large.
     """
 
-    def __init__(self, cost: np.ndarray, limit: int = 600_000):
+    def __init__(self, cost: np.ndarray, limit: int = 300_000):
         self.cost, self.limit = cost, limit
         self.clear()
 
@@ -275,14 +275,9 @@ class Words:
         return [self.table[np.fromiter(n, np.int64, len(n))] for n in numbers]
 
 
-_held: list = [None, None]
-
-
 def words_for(cost: np.ndarray) -> Words:
     """The worker process's tables for a character model; a new model gets new ones."""
-    if _held[0] is not cost:
-        _held[:] = [cost, Words(cost)]
-    return _held[1]
+    return held("words", cost, lambda: Words(cost))
 
 
 # 3. evidence and score
