@@ -93,7 +93,7 @@ def test_agent_end_to_end(spark):
              ("screen is black", "display"), ("black screen again", "display")] * 3)],
         "customer_tweet_id string, brand_tweet_id string, customer_text string, intent string, brand_text string")
     classifier = cl.fit_classifier(pool, "customer_text", fe.TextOptions(min_df=1))
-    retriever = rt.Retriever(pool, fe.TextOptions(min_df=1))
+    retriever = rt.Retriever(pool, fe.TextOptions(min_df=1), exclude=None)
     messages = spark.createDataFrame(
         [("e1", "battery drains", None), ("e2", "screen black", "hello"), ("e3", None, None), ("e4", "zzz", None)],
         "example_id string, customer_text string, prior_context string")

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -97,10 +98,10 @@ def brute_force(pool, queries, k):
     return best
 
 
-@pytest.mark.parametrize("block", [2_000, 7])
-def test_retrieval_matches_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(rt, "QUERY_BLOCK", block)
-    monkeypatch.setattr(rt, "CHUNK_ROWS", 3)
+@pytest.mark.parametrize("queries_in_block, characters_in_block", [(2_000, 4_000_000), (7, 60)])
+def test_retrieval_matches_brute_force(spark, monkeypatch, queries_in_block, characters_in_block):
+    monkeypatch.setattr(rt, "QUERY_BLOCK", queries_in_block)
+    monkeypatch.setattr(rt, "POOL_BLOCK", characters_in_block)
     rng = np.random.default_rng(2)
     words = [f"w{i}" for i in range(12)]
     text = lambda: " ".join(rng.choice(words, size=rng.integers(1, 7)))
@@ -110,7 +111,7 @@ def test_retrieval_matches_brute_force(spark, monkeypatch, block):
     df = spark.createDataFrame(pool, "brand_tweet_id string, customer_text string, intent string, brand_text string")
     df = df.withColumn("customer_tweet_id", F.col("brand_tweet_id")).repartition(5)
     asked = spark.createDataFrame(queries, "query_id string, question string, asked string")
-    retriever = rt.Retriever(df, fe.TextOptions(max_features=5_000, min_df=1, pairs=False))
+    retriever = rt.Retriever(df, fe.TextOptions(max_features=5_000, min_df=1, pairs=False), exclude=None)
     found = {}
     for r in retriever.matches(asked, "query_id", "question", "asked").orderBy("rank").collect():
         found.setdefault(r["query_id"], []).append((r["brand_tweet_id"], r["similarity"]))
@@ -133,6 +134,54 @@ def test_excluded_ids_are_not_retrieved(spark):
     assert [r["brand_tweet_id"] for r in retriever.matches(asked, "q", "t", "i").collect()] == ["b2"]
 
 
+def test_blocks_of_rows_keep_the_best(monkeypatch):
+    """Queries and messages that come in several matrices give the same as one."""
+    rng = np.random.default_rng(4)
+    words = np.array([f"w{i}" for i in range(9)])
+    grams = lambda n: [rng.choice(words, size=rng.integers(0, 6)) for _ in range(n)]
+    messages = pd.DataFrame({"_pool": [f"p{i:02d}" for i in rng.permutation(50)], "_grams": grams(50)})
+    questions = pd.DataFrame({"_mark": [f"m{i}" for i in range(20)], "_query": "q", "_grams": grams(20), "_idf": None})
+    known = pd.DataFrame({"_mark": [None], "_query": [None], "_grams": [words], "_idf": [np.linspace(1, 2, 9)]})
+    questions = pd.concat([questions, known], ignore_index=True)
+    whole = rt._scorer(3)(messages, questions)
+    monkeypatch.setattr(rt, "CHUNK_ROWS", 4)
+    monkeypatch.setattr(rt, "MATRIX_CELLS", 27)
+    order = ["_mark", "similarity", "_pool"]
+    parts = [f.sort_values(order, ignore_index=True) for f in (whole, rt._scorer(3)(messages, questions))]
+    pd.testing.assert_frame_equal(*parts)
+
+
+def test_repeated_query_ids_and_many_intents(spark):
+    intents = [f"i{n}" for n in range(450)]
+    pool = spark.createDataFrame(
+        [(f"b{j}-{n}", f"red {w}", n, "reply") for n in intents for j, w in enumerate(("car", "bus", "van", "tram"))],
+        "brand_tweet_id string, customer_text string, intent string, brand_text string",
+    ).withColumn("customer_tweet_id", F.col("brand_tweet_id"))
+    retriever = rt.Retriever(pool, fe.TextOptions(min_df=1), exclude=None)
+    rows = [("same", "red bus", "i7")] * 3 + [("same", "red van", "i7")] + [(n, "red car", n) for n in intents]
+    asked = spark.createDataFrame([*rows, ("none", None, None), (None, "red car", "i8")], "q string, t string, i string")
+    found = retriever.matches(asked, "q", "t", "i").collect()
+    assert len(found) == 3 * (2 + 450 + 1)
+    mine = sorted((r["rank"], r["brand_tweet_id"]) for r in found if r["q"] == "same")
+    assert mine[:2] == [(1, "b1-i7"), (1, "b2-i7")] and [r for r, _ in mine] == [1, 1, 2, 2, 3, 3]
+    lists = retriever.retrieve(asked, "q", "t", "i").collect()
+    assert len(lists) == 456
+    tops = {(r["q"], r["t"]): r["exemplars"][0]["customer_text"] for r in lists if r["exemplars"]}
+    assert tops["same", "red bus"] == "red bus" and tops["same", "red van"] == "red van" and tops[None, "red car"] == "red car"
+    many = retriever.matches(asked, "q", "t", "i")._jdf.queryExecution().analyzed().toString()
+    assert many.count("FlatMapCoGroupsInPandas") == 1  # whatever the number of queries
+
+
+def test_retrieval_of_empty_tables(spark):
+    pool = spark.createDataFrame([("1", "red car", "a", "r", "b1"), ("2", None, "a", "r", None)],
+        "customer_tweet_id string, customer_text string, intent string, brand_text string, brand_tweet_id string")
+    asked = spark.createDataFrame([("q", "red car", "a")], "q string, t string, i string")
+    options = fe.TextOptions(min_df=1)
+    assert rt.Retriever(pool.limit(0), options, exclude=None).matches(asked, "q", "t", "i").count() == 0
+    assert rt.Retriever(pool, options, exclude=None).matches(asked.limit(0), "q", "t", "i").count() == 0
+    assert rt.Retriever(pool, options, exclude=None).matches(asked, "q", "t", "i").count() == 1
+
+
 def test_classifier_learns_saves_and_loads(spark, tmp_path):
     rows = [(f"battery drains {i % 3}x", "power") for i in range(40)] + [(f"screen is black {i}x", "display") for i in range(8)]
     train = spark.createDataFrame([*rows, ("no label", None)], "t string, intent string")

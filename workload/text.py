@@ -190,8 +190,8 @@ raw AS (SELECT side, id, t.intent, t.term, tf * (LN((1 + n) / (1 + df)) + 1) AS
   FROM terms t JOIN vocab v ON t.intent=v.intent AND t.term=v.term JOIN sizes s ON t.intent=s.intent),
 unit AS (SELECT side, id, intent, term, w / SQRT(SUM(w * w) OVER (PARTITION BY side, id)) AS w FROM raw),
 sims AS (SELECT q.id AS query_id, p.id AS pool_id, ROUND(SUM(q.w * p.w), 6) AS similarity
-  FROM unit q JOIN unit p ON q.intent=p.intent AND q.term=p.term WHERE q.side='q' AND p.side='p' GROUP BY q.id, p.id),
-best AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY similarity DESC, pool_id) AS INT) AS rank FROM sims WHERE similarity > 0),
+  FROM unit q JOIN unit p ON q.intent=p.intent AND q.term=p.term WHERE q.side='q' AND p.side='p' GROUP BY q.id, p.id HAVING SUM(q.w * p.w) > 0),
+best AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY similarity DESC, pool_id) AS INT) AS rank FROM sims ),
 top AS (SELECT * FROM best WHERE rank <= 3)
 """
 
