@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from threadlens.operators import lookup as lo
 from threadlens.operators import threads as th
 from threadlens.sources import tables as io
 from threadlens.sources import tweets as src
@@ -87,12 +88,28 @@ def test_heavy_keys_are_spread_over_slots(spark):
     left = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("seat"))
     lookup = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
     counts = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    heavy = th.heavy_keys(counts, "k", "n", 100)
-    assert [tuple(r) for r in heavy.collect()] == [("hot", 10)]
-    joined = th.salted_lookup(left, lookup, "k", heavy, F.col("seat"), "left")
+    heavy = lo.heavy_buckets(counts, "k", {"x": "n"}, 100)
+    assert [r["_splits"] for r in heavy.collect()] == [10]
+    joined = lo.salted_lookup(left, lookup, "k", "x", heavy, F.col("seat"), "left")
     assert joined.filter("v = 1").count() == 1000
 
 
+def test_all_heavy_keys_are_listed(spark):
+    counts = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(7).alias("n"), F.lit(5).alias("m"))
+    heavy = lo.heavy_buckets(counts, "k", {"x": "n", "y": "m"}, 6)
+    buckets = {r["_bucket"] for r in heavy.collect()}
+    assert buckets == {r[0] for r in counts.select(lo.bucket_of("x", F.col("k"))).collect()}
+
+
+def test_pairs_read_their_table_three_times(spark, tweets, tmp_path):
+    tweets.write.parquet(str(tmp_path / "t"))
+    pairs = th.build_pairs(spark.read.parquet(str(tmp_path / "t")), BRAND)
+    assert len(rows(pairs)) == 3
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert final.count("FileScan parquet") <= 3 and final.count("ReusedExchange") >= 3, final
+
+
 def test_duplicate_ids_keep_the_earliest_dated_row(spark):
     twice = [("1", "a", "True", None, "undated", None, None), ("1", "a", "True", RAW[2][3], "late", None, None),
              ("1", "a", "True", RAW[0][3], "early b", None, None), ("1", "a", "True", RAW[0][3], "early a", None, None)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HEAVY_KEYS = 1000
+BUCKETS = 1 << 20
 MAX_BROADCAST_ROWS = 10_000
 
 
@@ -17,27 +17,34 @@ def broadcast_checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def heavy_keys(counts: DataFrame, key: str, rows: str, rows_per_split: int) -> DataFrame:
-    """Keys with more rows than one task should get, and into how many parts to split them.
+def bucket_of(kind: str, key: Column) -> Column:
+    """The bucket of a key; ``kind`` tells the keys of several joins apart."""
+    return F.pmod(F.xxhash64(F.lit(kind), key), F.lit(BUCKETS))
 
-    At most ``MAX_HEAVY_KEYS`` keys come back, the heaviest ones, so the result may always be
-    broadcast. Any further key holds less than 1/1000 of all rows and needs no split.
+
+def heavy_buckets(counts: DataFrame, key: str, kinds: dict[str, str], rows_per_split: int) -> DataFrame:
+    """Buckets with a key that has more rows than one task should get, and into how many parts to split them.
+
+    ``counts`` has a row per key and ``kinds`` its columns with the rows of each kind of join. Every heavy key
+    is in one of the buckets. There are at most ``BUCKETS`` short rows whatever the number of keys, so the
+    result may always be broadcast; light keys of a listed bucket are split as well, which does no harm.
     """
+    each = F.array(*[F.struct(bucket_of(k, F.col(key)).alias("_bucket"), F.col(n).alias("_n")) for k, n in kinds.items()])
     return (
-        counts.filter((F.col(rows) > rows_per_split) & F.col(key).isNotNull())
-        .orderBy(F.desc(rows), key)
-        .limit(MAX_HEAVY_KEYS)
-        .select(key, F.ceil(F.col(rows) / rows_per_split).cast("bigint").alias("_splits"))
+        counts.select(F.inline(each))
+        .groupBy("_bucket").agg(F.max("_n").alias("_most"))
+        .filter(F.col("_most") > rows_per_split)
+        .select("_bucket", F.ceil(F.col("_most") / rows_per_split).cast("bigint").alias("_splits"))
     )
 
 
 def salted_lookup(
-    left: DataFrame, lookup: DataFrame, key: str, heavy: DataFrame, spread: Column, how: str
+    left: DataFrame, lookup: DataFrame, key: str, kind: str, heavy: DataFrame, spread: Column, how: str
 ) -> DataFrame:
     """Join ``left`` with the row of ``lookup`` (unique on ``key``) that has the same key.
 
-    Rows of a heavy key go to ``_splits`` slots by ``spread``, and only the lookup row of that
-    key is repeated once per slot. Rows without a key are spread over all tasks. ``spread``
+    Rows of a heavy bucket go to ``_splits`` slots by ``spread``, and only the lookup rows of that
+    bucket are repeated once per slot. Rows without a key are spread over all tasks. ``spread``
     must not change when a task is run again.
     """
     heavy = F.broadcast(heavy)
@@ -46,11 +53,12 @@ def salted_lookup(
         .when(F.col("_splits").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_splits")))
         .otherwise(F.lit(0).cast("bigint"))
     )
-    left = left.join(heavy, key, "left").withColumn("_slot", slot).drop("_splits")
+    bucket = bucket_of(kind, F.col(key))
+    left = left.withColumn("_bucket", bucket).join(heavy, "_bucket", "left").withColumn("_slot", slot).drop("_splits", "_bucket")
     slots = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_splits"), F.lit(1)) - 1)
     lookup = (
-        lookup.join(heavy, key, "left")
+        lookup.withColumn("_bucket", bucket).join(heavy, "_bucket", "left")
         .withColumn("_slot", F.explode(slots))
-        .drop("_splits")
+        .drop("_splits", "_bucket")
     )
     return left.join(lookup, [key, "_slot"], how).drop("_slot")

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.scalars import first_listed_id, seconds_between
-from threadlens.operators.lookup import heavy_keys, salted_lookup
+from threadlens.operators.lookup import heavy_buckets, salted_lookup
 
 PAIR_COLUMNS = [
     "customer_tweet_id", "customer_text", "customer_created_at", "prior_context",
     "brand_tweet_id", "brand_text", "brand_created_at", "response_seconds", "followup_text",
 ]
 ROWS_PER_SPLIT = 500_000
+_KINDS = {"reply": "_replies", "followup": "_followups", "prior": "_answers"}
 
 
 def brand_replies(tweets: DataFrame, brand: str) -> DataFrame:
@@ -32,17 +33,16 @@ def unique_tweets(tweets: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def _customer_texts(tweets: DataFrame, key: str, out: str) -> DataFrame:
-    """Customer messages as a lookup from id to text."""
-    return (
-        unique_tweets(tweets, "text", "inbound")
-        .filter("inbound")
-        .select(F.col("tweet_id").alias(key), F.col("text").alias(out))
+def _key_counts(tweets: DataFrame, brand: str) -> DataFrame:
+    """Per id, how often it is a brand reply's parent, a brand reply's follow-up, a customer's parent."""
+    parent, reply = F.col("in_response_to_tweet_id"), ~F.col("inbound") & (F.col("author_id") == brand)
+    named = F.array(
+        F.struct(F.when(reply, parent).alias("tweet_id"), F.lit("reply").alias("_kind")),
+        F.struct(F.when(reply, first_listed_id(F.col("response_tweet_id"))).alias("tweet_id"), F.lit("followup").alias("_kind")),
+        F.struct(F.when(F.col("inbound"), parent).alias("tweet_id"), F.lit("prior").alias("_kind")),
     )
-
-
-def _row_counts(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    each = tweets.select(F.inline(named)).filter(F.col("tweet_id").isNotNull())
+    return each.groupBy("tweet_id").agg(*[F.count_if(F.col("_kind") == k).alias(n) for k, n in _KINDS.items()])
 
 
 def build_pairs(tweets: DataFrame, brand: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
@@ -51,6 +51,8 @@ def build_pairs(tweets: DataFrame, brand: str, rows_per_split: int = ROWS_PER_SP
     ``prior_context`` is the text the parent answers, ``followup_text`` the first listed answer
     to the reply; both only if a customer wrote them. The prior text is attached to the
     customer message before the replies come in, so each join has a side with unique keys.
+    The table is read three times: for the replies, for the numbers of rows per id, and for the
+    customer messages; parent, prior and follow-up take these from one shuffle.
     """
     replies = brand_replies(tweets, brand).select(
         F.col("in_response_to_tweet_id").alias("customer_tweet_id"),
@@ -61,36 +63,28 @@ def build_pairs(tweets: DataFrame, brand: str, rows_per_split: int = ROWS_PER_SP
         # From the row's own values, so that a task run again deals it to the same slot.
         F.xxhash64("tweet_id", "created_at", "text").alias("_seat"),
     )
-    answered = replies.select(F.col("customer_tweet_id").alias("tweet_id")).distinct()
-    customers = (
-        unique_tweets(tweets, "text", "created_at", "inbound", "in_response_to_tweet_id")
-        .filter("inbound")
-        .join(answered, "tweet_id", "left_semi")
-        .select(
-            F.col("tweet_id").alias("customer_tweet_id"),
-            F.col("text").alias("customer_text"),
-            F.col("created_at").alias("customer_created_at"),
-            F.col("in_response_to_tweet_id").alias("_prior_id"),
-        )
+    counts = _key_counts(tweets, brand)
+    heavy = heavy_buckets(counts, "tweet_id", _KINDS, rows_per_split)
+    # All counts are named, so that this and the heavy buckets share one shuffle.
+    answered = counts.filter((F.col("_replies") > 0) & (F.col("_followups") >= 0) & (F.col("_answers") >= 0))
+    written = unique_tweets(
+        tweets.filter(F.col("tweet_id").isNotNull()), "text", "created_at", "inbound", "in_response_to_tweet_id"
+    ).filter("inbound")
+
+    def texts(key: str, out: str) -> DataFrame:
+        return written.select(F.col("tweet_id").alias(key), F.col("text").alias(out))
+
+    customers = written.join(answered.select("tweet_id"), "tweet_id", "left_semi").select(
+        F.col("tweet_id").alias("customer_tweet_id"),
+        F.col("text").alias("customer_text"),
+        F.col("created_at").alias("customer_created_at"),
+        F.col("in_response_to_tweet_id").alias("_prior_id"),
     )
-    answers = tweets.filter("inbound").select(F.col("in_response_to_tweet_id").alias("_prior_id"))
     customers = salted_lookup(
-        customers, _customer_texts(tweets, "_prior_id", "prior_context"), "_prior_id",
-        heavy_keys(_row_counts(answers, "_prior_id"), "_prior_id", "_rows", rows_per_split),
-        F.col("customer_tweet_id"), "left",
-    )
+        customers, texts("_prior_id", "prior_context"), "_prior_id", "prior", heavy, F.col("customer_tweet_id"), "left")
+    pairs = salted_lookup(replies, customers, "customer_tweet_id", "reply", heavy, F.col("_seat"), "inner")
     pairs = salted_lookup(
-        replies, customers, "customer_tweet_id",
-        heavy_keys(
-            _row_counts(replies, "customer_tweet_id"), "customer_tweet_id", "_rows", rows_per_split
-        ),
-        F.col("_seat"), "inner",
-    )
-    pairs = salted_lookup(
-        pairs, _customer_texts(tweets, "_followup_id", "followup_text"), "_followup_id",
-        heavy_keys(_row_counts(replies, "_followup_id"), "_followup_id", "_rows", rows_per_split),
-        F.col("_seat"), "left",
-    )
+        pairs, texts("_followup_id", "followup_text"), "_followup_id", "followup", heavy, F.col("_seat"), "left")
     seconds = seconds_between(F.col("customer_created_at"), F.col("brand_created_at"))
     return pairs.withColumn("response_seconds", seconds).select(*PAIR_COLUMNS)
 
