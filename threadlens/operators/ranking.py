@@ -12,6 +12,7 @@ from threadlens.session import cut_lineage
 
 GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 PRE_SPLITS = 256
+PART_ROWS = 500_000
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -107,12 +108,16 @@ def top_n_per_group(
 def number_by_hash(df: DataFrame, digest: str, tie: str, out: str) -> DataFrame:
     """Consecutive numbers from 0 in the order of a hexadecimal digest column.
 
-    The digest's first three digits cut the rows into 4096 even parts with known offsets.
+    The digest's first digits cut the rows into even parts with known offsets, as many digits as parts of
+    ``PART_ROWS`` rows need (the rows are counted for it).
     """
-    parted = df.withColumn("_part", F.substring(F.col(digest), 1, 3))
+    digits, rows = 1, df.count()
+    while rows > PART_ROWS * 16**digits:
+        digits += 1
+    parted = df.withColumn("_part", F.substring(F.col(digest), 1, digits))
     sizes = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = F.sum("_rows").over(W.orderBy("_part")) - F.col("_rows")
-    offsets = F.broadcast(sizes.select("_part", before.alias("_before")))  # 4096 rows at most
+    offsets = F.broadcast(sizes.select("_part", before.alias("_before")))  # at most 16 * rows / PART_ROWS short rows
     place = F.row_number().over(W.partitionBy("_part").orderBy(digest, tie))
     return (
         parted.join(offsets, "_part")
