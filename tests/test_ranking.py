@@ -69,3 +69,20 @@ def test_calibration_takes_the_same_number_per_bin(spark):
         "low": 13, "mid": 13, "high": 13}
     only_low = sm.calibration_sample(scores.filter("tone <= 2"), "example_id", 40, 42)
     assert only_low.count() == 40
+
+
+def test_listed_groups_are_sampled_and_counted(spark):
+    rows = [(i, "a") for i in range(5)] + [(9, "b"), (10, "other"), (11, None)]
+    df = spark.createDataFrame(rows, "id int, intent string")
+    drawn = sm.sample_listed(df, "intent", ["a", "b", "c"], "id", 3, 42).groupBy("intent").count()
+    assert {tuple(r) for r in drawn.collect()} == {("a", 3), ("b", 1)}
+    short = sm.short_groups(df, "intent", 3, ["a", "b", "c", "c"])
+    assert {tuple(r) for r in short.collect()} == {("b", 1), ("c", 0)}
+    assert sm.sample_listed(df, "intent", [], "id", 3, 42).count() == 0
+
+
+def test_random_rows_are_the_first_by_digest(spark):
+    df = spark.range(500).union(spark.createDataFrame([(None,)], "id bigint"))
+    for n in (0, 1, 7, 501, 900):
+        whole = df.orderBy(sm.seeded_order(42, F.col("id")), "id").limit(n).collect()
+        assert sm.random_rows(df, "id", n, 42).collect() == whole

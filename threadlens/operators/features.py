@@ -47,6 +47,15 @@ def vocabulary(df: DataFrame, text: str, options: TextOptions) -> DataFrame:
     return counts.orderBy(F.desc("total"), "term").limit(options.max_features)
 
 
+def vocabulary_union(*columns: tuple[DataFrame, str], extra: Sequence[str] = ()) -> DataFrame:
+    """Distinct non-null values of columns of several tables and of a list, as ``word``."""
+    spark = columns[0][0].sparkSession
+    words = spark.createDataFrame([(w,) for w in extra], "word string")
+    for table, column in columns:
+        words = words.unionByName(table.select(F.col(column).cast("string").alias("word")))
+    return words.filter(F.col("word").isNotNull()).distinct()
+
+
 def grouped_vocabulary(df: DataFrame, text: str, group: str, options: TextOptions) -> DataFrame:
     """A vocabulary per group, each with up to ``max_features`` terms."""
     order = [F.desc("total"), F.col("term")]

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadlens.functions.scalars import row_mean, score_bin, seeded_order
 from threadlens.operators.ranking import number_by_hash, top_n_per_group
@@ -21,9 +24,21 @@ def sample_per_group(df: DataFrame, by: str, key: str, n: int, seed: int) -> Dat
     return top_n_per_group(drawn, [by], order, n).drop("_digest", "_rank")
 
 
-def short_groups(df: DataFrame, by: str, n: int) -> DataFrame:
-    """Groups with fewer than ``n`` rows, which a sample cannot fill."""
+def sample_listed(df: DataFrame, by: str, groups: Sequence[str], key: str, n: int, seed: int) -> DataFrame:
+    """The strata of the listed groups in one table: up to ``n`` random rows of each, none of other groups."""
+    return sample_per_group(df.filter(F.col(by).isin(list(groups))), by, key, n, seed)
+
+
+def short_groups(df: DataFrame, by: str, n: int, groups: Sequence[str] | None = None) -> DataFrame:
+    """Groups with fewer than ``n`` rows, which a sample cannot fill.
+
+    With a list of groups, these and no others: one without rows has 0.
+    """
     counts = df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("available"))
+    if groups is not None:
+        schema = T.StructType([T.StructField(by, df.schema[by].dataType)])
+        listed = df.sparkSession.createDataFrame([(g,) for g in groups], schema).distinct()
+        counts = listed.join(counts, by, "left").withColumn("available", F.coalesce("available", F.lit(0).cast("bigint")))
     return counts.filter(F.col("available") < n)
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions import scalars as sc
-from threadlens.functions.words import DOMAIN_STOP_WORDS, PROFILE_STOP_WORDS
 from threadlens.operators import labels as lb
 from threadlens.operators import profile as pf
 from threadlens.operators import sampling as sm
@@ -294,25 +293,15 @@ def m5(t: Tables) -> DataFrame:
 
 @query("u1_concatenate_strata", _RANKED + """SELECT customer_tweet_id, intent FROM ranked WHERE place <= 25""")
 def u1(t: Tables) -> DataFrame:
-    docs = view(t, "labeled_docs")
-    strata = [
-        sm.sample_per_group(docs.filter(F.col("intent") == i), "intent", "customer_tweet_id", 25, SEED)
-        for i in INTENTS
-    ]
-    joined = strata[0]
-    for stratum in strata[1:]:
-        joined = joined.unionByName(stratum)
-    return joined.select("customer_tweet_id", "intent")
-
-
-@query("u3_vocabulary_union", "SELECT DISTINCT UNNEST([" + ", ".join(
-    f"'{w}'" for w in sorted(PROFILE_STOP_WORDS | DOMAIN_STOP_WORDS)) + """]) AS word FROM documents
-UNION SELECT DISTINCT lang FROM documents UNION SELECT 'other'""")
-def u3(t: Tables) -> DataFrame:
-    both = F.array_union(
-        F.array(*[F.lit(w) for w in sorted(PROFILE_STOP_WORDS)]),
-        F.array(*[F.lit(w) for w in sorted(DOMAIN_STOP_WORDS)]),
-    )
-    names = t.documents.select(F.explode(F.array(F.col("lang"), F.lit("other"))).alias("word")).distinct()
-    stop = t.documents.select(both.alias("words")).distinct().select(F.explode("words").alias("word"))
-    return names.union(stop).distinct()
+    drawn = sm.sample_listed(view(t, "labeled_docs"), "intent", INTENTS, "customer_tweet_id", 25, SEED)
+    return drawn.select("customer_tweet_id", "intent")
+
+
+_ASKED = (*INTENTS, "no such intent")
+
+
+@query("m1_short_listed_groups", with_views("labeled_docs") + ", asked AS (SELECT UNNEST([" + ", ".join(f"'{i}'" for i in _ASKED) + """]) AS intent)
+SELECT intent, COUNT(customer_tweet_id) AS available FROM asked LEFT JOIN labeled_docs USING (intent)
+GROUP BY intent HAVING COUNT(customer_tweet_id) < 100""")
+def m1_short_listed(t: Tables) -> DataFrame:
+    return sm.short_groups(view(t, "labeled_docs"), "intent", 100, _ASKED)

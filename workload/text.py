@@ -14,7 +14,7 @@ from threadlens.operators import classify as cl
 from threadlens.operators import cluster as cu
 from threadlens.operators import evaluate as ev
 from threadlens.operators import labels as lb
-from threadlens.operators.features import TextModel, TextOptions, fit_text_model, vocabulary
+from threadlens.operators.features import TextModel, TextOptions, fit_text_model, vocabulary, vocabulary_union
 from threadlens.operators.retrieve import Retriever
 from threadlens.operators.sampling import random_rows
 from threadlens.session import scratch_path
@@ -62,6 +62,13 @@ def t1(t: Tables) -> DataFrame:
     return vocabulary(t.documents, "text", CLASSIFIER)
 
 
+@query("u3_vocabulary_union", "WITH " + _grams("documents", "doc_id", "text") + _VOCABULARY + """SELECT term AS word FROM vocab
+UNION SELECT lang FROM documents WHERE lang IS NOT NULL UNION SELECT 'other'""")
+def u3(t: Tables) -> DataFrame:
+    terms = vocabulary(t.documents, "text", CLASSIFIER)
+    return vocabulary_union((terms, "term"), (t.documents, "lang"), extra=("other",))
+
+
 @query("t1_vocabulary_topics")
 def t1_topics(t: Tables) -> DataFrame:
     return vocabulary(t.documents, "text", topic_options())
