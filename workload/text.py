@@ -137,7 +137,7 @@ def t5(t: Tables) -> DataFrame:
 @register("t5_assign_clusters")
 def t5_model(t: Tables) -> DataFrame:
     rows = vectors(t)
-    model = cu.fit_kmeans(rows, "features", 10, SEED, starts=3)
+    model = cu.fit_kmeans(rows, "features", 10, SEED)
     return model.transform(rows).select("vec_id", "label", "cluster_id")
 
 
