@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,11 +44,22 @@ def held(kind: str, mark: object, make: Callable[[], object]) -> object:
     """A table that a worker process keeps between tasks; it keeps one at a time and drops the one before."""
     same = _held[1] is mark or (isinstance(mark, str) and isinstance(_held[1], str) and _held[1] == mark)
     if _held[0] != kind or not same:
-        _held[:] = [None, None, None]
+        release()
         _held[:] = [kind, mark, make()]
     return _held[2]
 
 
+def release() -> None:
+    """Drop the table that the worker process keeps, for work that needs none, and hand back unused Arrow memory."""
+    _held[:] = [None, None, None]
+    pa.default_memory_pool().release_unused()
+
+
+def short_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Let Spark send texts to Python in batches of so few rows: executors hold several whole batches at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of few rows, so that what is made from texts at a time stays small."""
     for batch in batches:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import free_name, per_text, row_mark, stored
+from threadlens.llm.common import free_name, per_text, release, row_mark, stored
 from threadlens.llm.components import connected_components
 
 SEED = 42
@@ -61,6 +61,8 @@ def fingerprints(docs: DataFrame, *, words: int = 3, key: str = "doc_id", text:
     """The key and the signed 64-bit ``fingerprint`` of each row's whole text."""
 
     def make() -> Callable[[list[bytes]], list[list[int]]]:
+        release()
+
         def signed(texts: list[bytes]) -> list[list[int]]:
             found = np.array([fingerprint(t, words) for t in texts], np.uint64)
             return [found.view(np.int64).tolist()]

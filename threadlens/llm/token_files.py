@@ -52,7 +52,7 @@ MANIFEST = "file string, first_key bigint, first_order bigint, n_documents bigin
 UNUSUAL = re.compile("[^\n\x20-\x7e\xa1-\u024f\u2010-\u2027\u20ac]")
 #: Runs of white space, in which the library's splitting looks ahead.
 RUNS = ("  ", " \n", "\n ", "\n\n")
-CACHE_UNITS = 500_000
+CACHE_UNITS = 200_000
 LINE_START = "\x00"
 
 

@@ -87,10 +87,8 @@ def count_characters(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SIDE**3, np.int64)
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a in range(0, len(texts), 500):
-                total += _count_trigrams(texts[a:a + 500])
+        for batch in slices(batches):
+            total += _count_trigrams(batch.column(0).to_pylist())
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "n"])
 
