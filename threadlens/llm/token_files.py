@@ -52,11 +52,11 @@ MANIFEST = "file string, first_key bigint, first_order bigint, n_documents bigin
 UNUSUAL = re.compile("[^\n\x20-\x7e\xa1-\u024f\u2010-\u2027\u20ac]")
 #: Runs of white space, in which the library's splitting looks ahead.
 RUNS = ("  ", " \n", "\n ", "\n\n")
-CACHE_UNITS = 200_000
+CACHE_UNITS = 500_000
 LINE_START = "\x00"
 
 
-def text_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+def text_encoder(path: str, units_kept: int = CACHE_UNITS) -> Callable[[list[str]], list[bytes]]:
     """Ids of texts as the tokenizers library gives them, as bytes, each unit encoded once.
 
     For byte-level vocabularies, whose splitting never looks across a unit: the characters between two
@@ -83,7 +83,7 @@ def text_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     def learn(units: list[str]) -> None:
         """A unit has a blank before it, unless it begins a line or is the line feed."""
         nonlocal known, older
-        if len(known) > CACHE_UNITS:
+        if len(known) > units_kept:
             known, older = {}, known
         found = list(map(older.get, units))
         known.update((u, f) for u, f in zip(units, found) if f is not None)
@@ -198,6 +198,7 @@ class TokenFile:
 
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, *, key: str = "doc_id", text: str = "text", end_id: int = 0,
+    units_kept: int = CACHE_UNITS,
 ) -> DataFrame:
     """Encode all texts and write them in ascending order of the key; returns the manifest.
 
@@ -212,7 +213,7 @@ def write_token_files(
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, uri, first = None, "", None
-        encode = held("encoder", tokenizer, lambda: text_encoder(tokenizer))
+        encode = held("encoder", f"{units_kept} {tokenizer}", lambda: text_encoder(tokenizer, units_kept))
         for batch in slices(batches):
             keys = batch.column(0).to_pylist()
             if writer is None:
@@ -276,7 +277,10 @@ def _batch(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-def token_files(docs: DataFrame, tokenizer: str, *, end_id: int = 0) -> DataFrame:
-    """Write the documents into a new folder below the shared one and read the files back."""
+def token_files(docs: DataFrame, tokenizer: str, *, end_id: int = 0, units_kept: int = CACHE_UNITS) -> DataFrame:
+    """Write the documents into a new folder below the shared one and read the files back.
+
+    A worker keeps up to about twice ``units_kept`` encoded units: fewer need less memory and more time.
+    """
     folder = scratch_path(docs.sparkSession, "token-files")
-    return read_token_files(write_token_files(docs, folder, tokenizer, end_id=end_id))
+    return read_token_files(write_token_files(docs, folder, tokenizer, end_id=end_id, units_kept=units_kept))
