@@ -113,3 +113,24 @@ def test_no_urls_and_no_labels(spark):
     assert ut.judge_urls(spark.createDataFrame([], SCHEMA), RULES).collect() == []
     table = spark.createDataFrame([(1, "x://a.io/b", None, *["c"] * 4), (2, "x://a.net/b", None, *["c"] * 4)], SCHEMA)
     assert {r["page_id"]: r["verdict"] for r in ut.judge_urls(table, RULES).collect()} == {1: "allow", 2: "block"}
+
+
+def verdicts(spark, urls):
+    table = spark.createDataFrame([(i, u, b, *["c"] * 4) for i, (u, b) in enumerate(urls)], SCHEMA).repartition(3)
+    found = {r["page_id"]: r for r in ut.judge_urls(table).collect()}
+    assert len(found) == len(urls)
+    return [found[i] for i in range(len(urls))]
+
+
+def test_supported_sections_are_told_apart_at_every_fan_out(spark):
+    """One bad section among many; thin ones share the wildcard; a ladder of shares does not hide the bad end."""
+    urls = [(f"x://w.io/s{chr(97 + i % 26)}/{j}", int(i == 3)) for i in range(26) for j in range(40)]
+    urls += [(f"x://w.io/t{chr(97 + i % 26)}{chr(97 + i // 26)}/1", 0) for i in range(60)]
+    urls += [(f"x://l.io/s{chr(97 + i % 26)}/{j}", int(j < 2 * i)) for i in range(21) for j in range(40)]
+    found = verdicts(spark, urls)
+    for (url, _), r in zip(urls, found):
+        if "w.io" in url:
+            assert r["verdict"] == ("block" if "/sd/" in url else "allow"), url
+            assert ("/*" in r["template"]) == ("/t" in url), url
+        elif "/sa/" in url or "/su/" in url:
+            assert r["verdict"] == ("allow" if "/sa/" in url else "block"), url

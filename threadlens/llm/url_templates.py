@@ -1,15 +1,17 @@
 """URL filters: rules for hosts and paths, and a path-template tree per host judged by labelled purity.
 
 A url's path is cut into segments in which every run of digits becomes ``#``. From the root of each host down,
-a node with more than ``most_children`` different segments gets one wildcard child; of other nodes' children,
-in the order of their shares of bad labels, neighbours that a test of two proportions at ``z`` does not tell apart
-are merged into one branch. What is left from the root to a leaf is the template. Its share of bad labels is smoothed with the weight
+a node's children are merged, in the order of their shares of bad labels, where a test of two proportions at ``z`` does
+not tell them apart. With up to ``most_children`` children, each is tested against its neighbour. With more, those with
+fewer than ``support`` labels become one wildcard, as chance would tell some of them apart; all others are tested, however
+many they are: by shares rounded to a thousandth, each against all of the branch so far. What is left from the root to a leaf is the template. Its share of bad labels is smoothed with the weight
 of ``prior`` urls towards the host's share, which is smoothed towards the share of all; templates at ``reject`` or
 above are blocked.
 
 The tree works on distinct (host, path shape) rows with counts, made by one aggregation with partial sums, so a
-host with a third of all urls is a few rows. Each level is two aggregations and one join of stored tables. A path
-with more than ``depth`` segments keeps its first ones and ends in a wildcard; its url is judged like any other.
+host with a third of all urls is a few rows. A round folds the segments that all rows of a node share, branches once and
+drops rows whose path has ended, so there are as many rounds as branchings on a path, but a path
+with more than ``depth`` segments keeps its first ones and ends in a wildcard.
 
 Null urls and those without ``://`` have an empty host and path and get the template of that host. Without labels
 nothing is blocked but by rules. Repeated rows count as often as they come. Empty tables give no rows. Other
@@ -18,8 +20,12 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,7 +63,7 @@ def shape(path: Column) -> Column:
 
 
 def build_templates(
-    labelled: DataFrame, *, depth: int = 8, most_children: int = 16, z: float = 1.96,
+    labelled: DataFrame, *, depth: int = 8, most_children: int = 16, support: int = 10, z: float = 1.96,
 ) -> DataFrame:
     """``template`` and counts (``n``, ``n_labelled``, ``n_bad``) of each (``host``, ``shape``).
 
@@ -67,30 +73,86 @@ def build_templates(
     shapes = labelled.groupBy("host", shape(F.col("path")).alias("shape")).agg(
         F.count(F.lit(1)).alias("n"), F.count(bad).alias("n_labelled"), F.coalesce(F.sum(bad), F.lit(0)).alias("n_bad"))
     parts = F.split("shape", "/")
-    rows = stored(
-        shapes.withColumn("parts", F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth), F.array(F.lit(WILD))))
-                          .otherwise(parts)).withColumn("template", F.lit("")),
-        "url-shapes",
-    )
-    levels = rows.agg(F.max(F.size("parts"))).first()[0] or 0
-    counts = ("n", "n_labelled", "n_bad")
-    for level in range(levels):
-        child = F.when(F.size("parts") > level, F.get("parts", F.lit(level)))  # null below a leaf
-        at = rows.withColumn("child", child)
+    parts = F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth), F.array(F.lit(WILD)))).otherwise(parts)
+    rows = stored(shapes.withColumn("parts", parts).withColumn("template", F.lit("")), "url-shapes")
+    counts, ended = ("n", "n_labelled", "n_bad"), F.size("parts") == 0
+    done: list[DataFrame] = [rows.filter(ended)]
+    rows = rows.filter(~ended)
+    while not rows.isEmpty():
+        folded = _folded(rows)
+        at = folded.filter(~ended).withColumn("child", F.get("parts", F.lit(0)))
         children = stored(
-            at.filter("child is not null").groupBy("host", "template", "child").agg(*[F.sum(c).alias(c) for c in counts]),
-            "url-children",
-        )
+            at.groupBy("host", "template", "child").agg(*[F.sum(c).alias(c) for c in counts]), "url-children")
         nodes = children.groupBy("host", "template").agg(F.count(F.lit(1)).alias("n_children"))
         each = children.join(stored(nodes, "url-nodes"), ["host", "template"])
-        wild = each.filter(F.col("n_children") > most_children).select(
-            "host", "template", "child", F.lit(WILD).alias("branch"))
-        few = each.filter(F.col("n_children") <= most_children)
-        named = stored(wild.unionByName(_merged(few, z)), "url-branches")
-        grown = at.join(named, ["host", "template", "child"], "left").withColumn(
-            "next", F.when(F.col("child").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "branch")))
-        rows = stored(grown.select("host", "shape", *counts, "parts", F.col("next").alias("template")), "url-shapes")
-    return rows.drop("parts")
+        many, enough = F.col("n_children") > most_children, F.col("n_labelled") >= support
+        wild = each.filter(many & ~enough).select("host", "template", "child", F.lit(WILD).alias("branch"))
+        named = wild.unionByName(_merged(each.filter(~many), z)).unionByName(_merged_bins(each.filter(many & enough), z))
+        grown = at.join(stored(named, "url-branches"), ["host", "template", "child"]).withColumn(
+            "template", F.concat("template", F.lit("/"), "branch")).withColumn("parts", F.slice("parts", 2, F.size("parts")))
+        grown = stored(grown.select(*rows.columns), "url-shapes")
+        done += [folded.filter(ended), grown.filter(ended)]
+        if len(done) > 32:  # the plan does not grow with the rounds
+            done = [stored(reduce(DataFrame.unionByName, done), "url-ended")]
+        rows = grown.filter(~ended)
+    return reduce(DataFrame.unionByName, done).drop("parts")
+
+
+def _folded(rows: DataFrame) -> DataFrame:
+    """The rows with the segments that all rows of their node begin with moved from ``parts`` to the template."""
+    node = ["host", "template"]
+    ends = rows.groupBy(*node).agg(F.min("parts").alias("low"), F.max("parts").alias("high"))
+    unlike = F.array_position(F.zip_with("low", "high", lambda a, b: a.eqNullSafe(b)), F.lit(False))
+    shared = F.when(unlike > 0, unlike - 1).otherwise(F.size("low")).cast("int")  # what the first and the last share, all do
+    ends = stored(ends.select(*node, shared.alias("shared")), "url-shared")
+    more = F.concat("template", F.lit("/"), F.array_join(F.slice("parts", F.lit(1), F.col("shared")), "/"))
+    return stored(
+        rows.join(ends, node)
+        .withColumn("template", F.when(F.col("shared") > 0, more).otherwise(F.col("template")))
+        .withColumn("parts", F.slice("parts", F.col("shared") + 1, F.size("parts"))).select(*rows.columns), "url-shapes")
+
+
+def _merged_bins(children: DataFrame, z: float) -> DataFrame:
+    """The branch of each well-supported child of nodes with many children.
+
+    Children of about the same share are one bin, so a node has at most 1,001 of them. In order, a bin begins a new
+    branch where a test of two proportions tells it from the branch before. A child alone keeps its name.
+    """
+    node = ["host", "template"]
+    binned = children.withColumn("bin", F.round(1000 * F.try_divide("n_bad", "n_labelled")).cast("bigint"))
+    sums = binned.groupBy(*node, "bin").agg(*[F.sum(c).alias(c) for c in ("n_labelled", "n_bad")], F.count(F.lit(1)).alias("size"))
+    listed = sums.groupBy(*node).agg(F.sort_array(F.collect_list(F.struct("bin", "n_labelled", "n_bad", "size"))).alias("bins"))
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for host, template, bins in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                parts = _branches([(b["n_labelled"], b["n_bad"]) for b in bins], z)
+                sizes = Counter()
+                for b, part in zip(bins, parts):
+                    sizes[part] += b["size"]
+                out += [(host, template, b["bin"], part, sizes[part] == 1) for b, part in zip(bins, parts)]
+            types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
+            columns = zip(*out) if out else [[] for _ in types]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, type=t) for c, t in zip(columns, types)], names=[*node, "bin", "part", "alone"])
+
+    found = stored(listed.mapInArrow(cut, "host string, template string, bin bigint, part bigint, alone boolean"), "url-bins")
+    name = F.when(F.col("alone"), F.col("child")).otherwise(F.concat(F.lit(MERGED), F.col("part").cast("string")))
+    return binned.join(found, [*node, "bin"]).select(*node, "child", name.alias("branch"))
+
+
+def _branches(bins: list[tuple[int, int]], z: float) -> list[int]:
+    """The number of the branch of each (labelled, bad), in the order of their shares."""
+    parts, part, all_n, all_bad = [], 0, 0, 0
+    for n, bad in bins:
+        if all_n:
+            share = (all_bad + bad) / (all_n + n)
+            if bad / n - all_bad / all_n > z * math.sqrt(share * (1 - share) * (1 / all_n + 1 / n)):
+                part, all_n, all_bad = part + 1, 0, 0
+        all_n, all_bad = all_n + n, all_bad + bad
+        parts.append(part)
+    return parts
 
 
 def _merged(children: DataFrame, z: float) -> DataFrame:
