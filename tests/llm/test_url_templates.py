@@ -134,3 +134,12 @@ def test_supported_sections_are_told_apart_at_every_fan_out(spark):
             assert ("/*" in r["template"]) == ("/t" in url), url
         elif "/sa/" in url or "/su/" in url:
             assert r["verdict"] == ("allow" if "/sa/" in url else "block"), url
+
+
+def test_deep_paths_are_told_apart(spark):
+    long = "/".join(["p"] * 40)
+    urls = [(f"x://d.io/a/b/c/d/e/f/g/{s}/x{chr(97 + j % 26)}", int(s == "bad")) for s in ("bad", "good") for j in range(60)]
+    urls += [(f"x://e.io/{long}/{s}/{j}", int(s == "bad")) for s in ("bad", "good") for j in range(60)]
+    urls += [(f"x://e.io/{long}", 0), ("x://e.io/p", None)]
+    for (url, _), r in zip(urls, verdicts(spark, urls)):
+        assert r["verdict"] == ("block" if "/bad/" in url else "allow"), url

@@ -10,8 +10,7 @@ above are blocked.
 
 The tree works on distinct (host, path shape) rows with counts, made by one aggregation with partial sums, so a
 host with a third of all urls is a few rows. A round folds the segments that all rows of a node share, branches once and
-drops rows whose path has ended, so there are as many rounds as branchings on a path, but a path
-with more than ``depth`` segments keeps its first ones and ends in a wildcard.
+drops rows whose path has ended, so there are as many rounds as branchings on a path, and paths are never cut.
 
 Null urls and those without ``://`` have an empty host and path and get the template of that host. Without labels
 nothing is blocked but by rules. Repeated rows count as often as they come. Empty tables give no rows. Other
@@ -63,7 +62,7 @@ def shape(path: Column) -> Column:
 
 
 def build_templates(
-    labelled: DataFrame, *, depth: int = 8, most_children: int = 16, support: int = 10, z: float = 1.96,
+    labelled: DataFrame, *, most_children: int = 16, support: int = 10, z: float = 1.96,
 ) -> DataFrame:
     """``template`` and counts (``n``, ``n_labelled``, ``n_bad``) of each (``host``, ``shape``).
 
@@ -72,9 +71,7 @@ def build_templates(
     bad = F.col("bad").cast("bigint")
     shapes = labelled.groupBy("host", shape(F.col("path")).alias("shape")).agg(
         F.count(F.lit(1)).alias("n"), F.count(bad).alias("n_labelled"), F.coalesce(F.sum(bad), F.lit(0)).alias("n_bad"))
-    parts = F.split("shape", "/")
-    parts = F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth), F.array(F.lit(WILD)))).otherwise(parts)
-    rows = stored(shapes.withColumn("parts", parts).withColumn("template", F.lit("")), "url-shapes")
+    rows = stored(shapes.withColumn("parts", F.split("shape", "/")).withColumn("template", F.lit("")), "url-shapes")
     counts, ended = ("n", "n_labelled", "n_bad"), F.size("parts") == 0
     done: list[DataFrame] = [rows.filter(ended)]
     rows = rows.filter(~ended)
