@@ -79,3 +79,28 @@ def test_equal_hashes_are_compared(monkeypatch):
     monkeypatch.setattr(dc, "_hashes", lambda ids, size: dc.np.zeros(max(len(ids) - size + 1, 0), dc.np.uint64))
     known = dc.WindowSet.build(2, [("a", [b"x", b"y", b"z"])])
     assert [(s, i) for s, _, i in known.occurrences([b"z", b"x", b"y", b"y", b"z"])] == [(1, ["a"]), (3, ["a"])]
+
+
+@pytest.mark.parametrize("broadcast_words", [10**6, 0])
+def test_items_without_an_id_are_hits_without_a_name(spark, broadcast_words):
+    docs = spark.createDataFrame([(1, "a one two three b", "k"), (2, "one two three x y z", "k"), (3, "clean", "k")],
+                                 "doc_id bigint, text string, key string")
+    bench = spark.createDataFrame([(None, "One two, three", "", ""), (None, "q r s", "", ""), (4, "x y z", "", "")], ITEMS)
+    found = dc.find_overlap(docs, bench, size=3, broadcast_words=broadcast_words)
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["items"], r["contaminated"]) for r in found.collect()}
+    assert got == {1: (3, 0, [], True), 2: (6, 1, ["4"], True), 3: (0, 0, [], False)}
+    assert {r["items_sha256"] for r in found.filter("doc_id = 1").collect()} == {hashlib.sha256(b"").hexdigest()}
+    kept = dc.drop_contaminated(docs, bench, size=3, broadcast_words=broadcast_words)
+    assert [r["doc_id"] for r in kept.collect()] == [3]
+
+
+@pytest.mark.parametrize("broadcast_words", [10**6, 0])
+def test_spans_are_cut_at_any_size_of_benchmark(spark, broadcast_words):
+    rows = [(1, "Alpha beta one two three gamma", "k"), (2, "Clean Text!", "k"), (3, None, "k"), (1, "Alpha beta one two three gamma", "m"),
+            (4, "one two three", "k")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, key string")
+    bench = spark.createDataFrame([(1, "ONE two, three", "", "")], ITEMS)
+    cut = dc.cut_spans(docs, bench, size=3, broadcast_words=broadcast_words)
+    assert cut.columns == docs.columns
+    assert Counter(tuple(r) for r in cut.collect()) == Counter([
+        (1, "alpha beta gamma", "k"), (1, "alpha beta gamma", "m"), (2, "Clean Text!", "k"), (3, "", "k"), (4, "", "k")])

@@ -9,8 +9,9 @@ mapped to the benchmark's word numbers; where a window of known words has a hash
 words are compared one by one. A larger benchmark is joined by window text through a shuffle instead;
 both ways give the same rows.
 
-Null and empty texts have no words: they hit nothing and no document hits them. Repeated documents get a
-row each, repeated items count once. Empty tables give no rows or no hits. Other columns are ignored by
+Null and empty texts have no words: they hit nothing and no document hits them. The windows of items without an id
+count as hits like any other (``n_hit``, spans, ``contaminated``), but such items have no name: ``n_items``,
+``items`` and ``items_sha256`` are of the named items only. Repeated documents get a row each, repeated items count once. Empty tables give no rows or no hits. Other columns are ignored by
 ``find_overlap``; the filters keep them.
 """
 
@@ -65,14 +66,14 @@ class WindowSet:
 
     size: int
     vocabulary: dict[bytes, int]
-    names: list[str]
+    names: list[str | None]
     flat: np.ndarray  # word numbers of all items, one after the other
     begins: np.ndarray  # where each item begins in them
     hashes: dict[int, np.ndarray]  # by window length: the sorted hashes
     places: dict[int, np.ndarray]  # and where in ``flat`` each window is
 
     @classmethod
-    def build(cls, size: int, items: Iterable[tuple[str, Sequence[bytes]]]) -> WindowSet:
+    def build(cls, size: int, items: Iterable[tuple[str | None, Sequence[bytes]]]) -> WindowSet:
         vocabulary: dict[bytes, int] = {}
         names, parts = [], []
         for name, words in items:
@@ -93,7 +94,7 @@ class WindowSet:
             hashes[length], places[length] = values[order], at[order]
         return cls(size, vocabulary, names, flat, begins, hashes, places)
 
-    def occurrences(self, words: Sequence[bytes]) -> Iterator[tuple[int, int, list[str]]]:
+    def occurrences(self, words: Sequence[bytes]) -> Iterator[tuple[int, int, list[str | None]]]:
         """Start, length and items of each place where a window occurs, its words compared."""
         get = self.vocabulary.get
         ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
@@ -116,14 +117,14 @@ class WindowSet:
                     yield start, length, [self.names[o] for o in set(owner.tolist())]
 
 
-def digest_of(n_words: int, found: Iterable[tuple[int, int, Sequence[str]]]) -> tuple:
+def digest_of(n_words: int, found: Iterable[tuple[int, int, Sequence[str | None]]]) -> tuple:
     """The columns of FIELDS from a document's occurrences."""
     edge = np.zeros(n_words + 1, np.int64)
     items: set[str] = set()
     for start, length, names in found:
         edge[start] += 1
         edge[start + length] -= 1
-        items.update(names)
+        items.update(n for n in names if n is not None)
     hit = np.concatenate([[0], np.cumsum(edge)[:n_words] > 0, [0]]).astype(np.int8)
     turn = np.diff(hit)
     starts, ends = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
@@ -159,8 +160,7 @@ def find_overlap(
 
 
 def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    chosen = benchmark.select(F.col(item).cast("string").alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return chosen.filter(F.col("item").isNotNull())
+    return benchmark.select(F.col(item).cast("string").alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
 def _shared(items: DataFrame, size: int, broadcast_words: int) -> Broadcast | None:
@@ -195,8 +195,8 @@ def _windows(table: DataFrame, keep: str, size: int, text: str, short: bool) ->
     return narrow.mapInArrow(cut, "name string, start bigint, length bigint, window binary")
 
 
-def _joined(docs: DataFrame, items: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """The same result with the benchmark's windows joined through a shuffle."""
+def _digests(docs: DataFrame, items: DataFrame, size: int, text: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct texts (``mark``, ``body``), and the FIELDS of each mark with the benchmark's windows joined by a shuffle."""
     body = F.coalesce(F.col(text), F.lit(""))
     mark = F.sha2(body, 256)
     texts = stored(docs.select(mark.alias("mark"), body.alias("body")).dropDuplicates(["mark"]), "texts")
@@ -223,6 +223,13 @@ def _joined(docs: DataFrame, items: DataFrame, size: int, key: str, text: str) -
     schema = "mark string, " + ", ".join(f"{n} {t}" for n, t in FIELDS.items())
     digests = stored(
         counted.select("mark", F.col("body").cast("binary"), "spans", "items").mapInArrow(finish, schema), "overlap")
+    return texts, digests
+
+
+def _joined(docs: DataFrame, items: DataFrame, size: int, key: str, text: str) -> DataFrame:
+    """The same result as with a broadcast set, from the shuffle join."""
+    _, digests = _digests(docs, items, size, text)
+    mark = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
     return docs.select(F.col(key), mark.alias("_mark")).join(digests, F.col("_mark") == F.col("mark")).select(key, *FIELDS)
 
 
@@ -256,15 +263,24 @@ def drop_contaminated(
     return docs.filter(text_column(text, "boolean", make, binary=True))
 
 
+def _without(words: list[bytes], starts: Iterable[int], ends: Iterable[int]) -> str:
+    """The words outside the spans, joined by blanks."""
+    hit = np.zeros(len(words), bool)
+    for a, b in zip(starts, ends):
+        hit[a:b] = True
+    return b" ".join(w for w, h in zip(words, hit.tolist()) if not h).decode()
+
+
 def cut_spans(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, text: str = "text", **options) -> DataFrame:
     """Documents without their hit words: the rest of the words, folded, joined by blanks; other columns stay.
 
-    For corpora where a passage should go but its document stay.
+    For corpora where a passage should go but its document stay. A benchmark beyond ``broadcast_words`` is joined
+    by shuffle; both ways give the same rows.
     """
-    shared = _shared(_items(benchmark, options.get("item", "item_id"), options.get("item_text", "text")), size,
-                     options.get("broadcast_words", BROADCAST_WORDS))
+    items = _items(benchmark, options.get("item", "item_id"), options.get("item_text", "text"))
+    shared = _shared(items, size, options.get("broadcast_words", BROADCAST_WORDS))
     if shared is None:
-        raise ValueError("the benchmark is too large to cut spans: use drop_contaminated")
+        return _cut_joined(docs, items, size, text)
 
     def make() -> Callable[[list[bytes]], list[str]]:
         known = shared.value
@@ -272,13 +288,26 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, text: st
         def rest(one: bytes) -> str:
             words = words_of(one)
             found = digest_of(len(words), known.occurrences(words))
-            if not found[1]:
-                return one.decode()
-            hit = np.zeros(len(words), bool)
-            for a, b in zip(found[6], found[7]):
-                hit[a:b] = True
-            return b" ".join(w for w, h in zip(words, hit.tolist()) if not h).decode()
+            return _without(words, found[6], found[7]) if found[1] else one.decode()
 
         return lambda texts: [rest(t) for t in texts]
 
     return docs.withColumn(text, text_column(text, "string", make, binary=True))
+
+
+def _cut_joined(docs: DataFrame, items: DataFrame, size: int, text: str) -> DataFrame:
+    """``cut_spans`` with the spans of the shuffle join; only texts with hits are cut and joined back."""
+    texts, digests = _digests(docs, items, size, text)
+    hit = digests.filter("n_hit > 0").select("mark", "span_starts", "span_ends")
+    of_hits = texts.join(hit, "mark").select("mark", F.col("body").cast("binary"), "span_starts", "span_ends")
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [_without(words_of(b), s, e) for b, s, e in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, type=pa.string())], names=["mark", "rest"])
+
+    mark, rest = free_name(docs, "_text_mark"), free_name(docs, "_text_rest")
+    done = stored(of_hits.mapInArrow(cut, "mark string, rest string"), "cut-texts")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    marked = docs.withColumn(mark, F.sha2(whole, 256)).join(done.toDF(mark, rest), mark, "left")
+    return marked.withColumn(text, F.coalesce(F.col(rest), whole)).select(*docs.columns)
