@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.llm import (
-    decontaminate, mixing, outliers, sharding, simhash, token_counts, token_files, toxicity, url_templates, warc,
+    decontaminate, mixing, outliers, sharding, simhash, substring_dedup, token_counts, token_files, toxicity, url_templates, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,6 +149,21 @@ def op10_interleave_shards(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op11_substring_dedup", r"""
+WITH d AS (SELECT doc_id, REGEXP_EXTRACT_ALL(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, i, words[i : i + 19] AS win FROM (SELECT doc_id, words, UNNEST(RANGE(1, LEN(words) - 18)) AS i FROM d WHERE LEN(words) >= 20)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, ROW_NUMBER() OVER (PARTITION BY win ORDER BY doc_id, i) AS nth FROM w) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, UNNEST(RANGE(i, i + 20)) AS p FROM r),
+each AS (SELECT doc_id, UNNEST(words) AS word, UNNEST(RANGE(1, LEN(words) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, COUNT(*) AS n_kept, STRING_AGG(word, ' ' ORDER BY p) AS text FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(LEN(words) AS BIGINT) AS n_words, LEN(words) - COALESCE(n_kept, 0) AS n_removed, SHA256(COALESCE(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""")
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup.find_repeats(table(spark, folder, "documents"), window=20, from_files=True)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
