@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.llm import (
-    decontaminate, mixing, outliers, sharding, simhash, substring_dedup, token_counts, token_files, toxicity, url_templates, warc,
+    centroid_clustering, decontaminate, mixing, outliers, sharding, simhash, substring_dedup, token_counts, token_files, toxicity, url_templates, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,6 +164,41 @@ def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def clustering_sql(rounds: int) -> str:
+    """Assignments and centroids of each round as tables of their own."""
+    steps = ["""
+kept AS MATERIALIZED (
+  SELECT vec_id, LIST_TRANSFORM(embedding, lambda x: CAST(FLOOR(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE LEN(embedding) = 64 AND LEN(LIST_FILTER(embedding, lambda x: x IS NULL OR NOT ISFINITE(x))) = 0)""", """
+c0 AS MATERIALIZED (
+  SELECT ROW_NUMBER() OVER (ORDER BY h) - 1 AS c, v FROM (SELECT SHA256('2:' || CAST(vec_id AS VARCHAR)) AS h, v FROM kept ORDER BY h LIMIT 40))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT vec_id, v, c, distance FROM (
+    SELECT vec_id, v, c, distance, ROW_NUMBER() OVER (PARTITION BY vec_id ORDER BY distance, c) AS nth FROM (
+      SELECT k.vec_id, k.v, m.c, LIST_SUM(LIST_TRANSFORM(LIST_ZIP(k.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance
+      FROM kept k, c{r} m)) WHERE nth = 1)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (SELECT c, j, SUM(x) AS s, COUNT(*) AS n FROM (SELECT c, UNNEST(v) AS x, UNNEST(RANGE(1, 65)) AS j FROM a{r}) GROUP BY c, j),
+m{r} AS (SELECT c, LIST(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS v FROM s{r} GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT c{r}.c, COALESCE(m{r}.v, c{r}.v) AS v FROM c{r} LEFT JOIN m{r} ON c{r}.c = m{r}.c)""")
+    return "WITH " + ",".join(steps) + f"""
+SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.distance AS BIGINT) AS distance,
+  CAST(SUM(a.distance) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(SUM(a.distance) OVER () AS BIGINT) AS inertia,
+  SHA256(ARRAY_TO_STRING(m.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} m ON a.c = m.c
+"""
+
+
+@query("op12_centroid_clustering", clustering_sql(5))
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    found = centroid_clustering.cluster(table(spark, folder, "embeddings"), k=40, rounds=5, size=64, scale=256, seed=2)
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2("centroid", 256).alias("centroid_sha256"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
