@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.llm import (
-    centroid_clustering, decontaminate, mixing, outliers, sharding, simhash, substring_dedup, token_counts, token_files, toxicity, url_templates, warc,
+    centroid_clustering, decontaminate, mixing, outliers, phrases, sharding, simhash, substring_dedup, token_counts, token_files, toxicity, url_templates, warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,6 +199,38 @@ def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2("centroid", 256).alias("centroid_sha256"))
 
 
+@query("op13_phrases", r"""
+WITH p AS (SELECT doc_id, COALESCE(lang, 'und') AS lang, UNNEST(REGEXP_SPLIT_TO_ARRAY(
+  TRANSLATE(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, REGEXP_EXTRACT_ALL(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (SELECT lang, k, words[i : i + k - 1] AS g FROM (
+  SELECT lang, k, words, UNNEST(RANGE(1, LEN(words) - k + 2)) AS i FROM w, (SELECT UNNEST(RANGE(1, 5)) AS k) WHERE LEN(words) >= k)),
+f AS MATERIALIZED (SELECT lang, k, g, COUNT(*) AS f FROM g GROUP BY lang, k, g),
+n AS (SELECT lang, CAST(SUM(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT * FROM f WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.k, c.g, c.f AS a, x.f AS l, y.f AS r, cut,
+    CAST((2000000::HUGEINT * c.f) // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, UNNEST(RANGE(1, k)) AS cut FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.k = cut AND x.g = c.g[1 : cut]
+  JOIN f y ON y.lang = c.lang AND y.k = c.k - cut AND y.g = c.g[cut + 1 : c.k]),
+low AS (SELECT * FROM cuts QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, k, g ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, LEN(sub) AS k, sub AS g, MAX(f) AS longer FROM (
+    SELECT lang, f, g[i : i + m - 1] AS sub FROM (
+      SELECT lang, f, g, k, m, UNNEST(RANGE(1, k - m + 2)) AS i FROM (SELECT *, UNNEST(RANGE(2, k)) AS m FROM c)))
+  GROUP BY lang, sub),
+kept AS (
+  SELECT low.lang, ARRAY_TO_STRING(low.g, ' ') AS phrase, a, l, r, score FROM low LEFT JOIN inside i ON i.lang = low.lang AND i.k = low.k AND i.g = low.g
+  WHERE i.longer IS NULL OR 100 * i.longer < 80 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, ENCODE(phrase)) AS rank FROM kept) JOIN n USING (lang)
+WHERE rank <= 2000
+""")
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"), least=30, top=2000, from_files=True)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
