@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import decontaminate, mixing, near_copies, token_files, toxicity
+from threadlens.llm import decontaminate, mixing, simhash, token_files, toxicity
 from threadlens.llm.common import short_batches, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,9 +23,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each component of texts that share five-word shingles to 0.8 or more."""
+    """One document, that with the smallest id, of each component of fingerprints that differ in at most two bits."""
     short_batches(spark)
-    return near_copies.drop_near_copies(docs, words=5, similarity=0.8)
+    return simhash.drop_near_duplicates(docs, words=3, radius=2)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
