@@ -28,6 +28,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
@@ -49,67 +50,120 @@ MANIFEST = "file string, first_key bigint, first_order bigint, n_documents bigin
 #: Characters whose classes are the same in all Unicode versions in use, so that the units found here are
 #: those that the library's own splitting finds; texts with any other go to the library as a whole. Of white
 #: space only the blank and the line feed are among them.
-UNUSUAL = re.compile("[^\n\x20-\x7e\xa1-\u024f\u2010-\u2027\u20ac]")
-#: Runs of white space, in which the library's splitting looks ahead.
-RUNS = ("  ", " \n", "\n ", "\n\n")
+USUAL = r"\n\x20-\x7e\x{a1}-\x{24f}\x{2010}-\x{2027}\x{20ac}"
+#: Runs of white space and white space at the end, where the library's splitting looks ahead; empty texts.
+AHEAD = r"[ \n][ \n]|[ \n]\z|\A\z"
 CACHE_UNITS = 500_000
 LINE_START = "\x00"
+LINES = 100
+#: A mark after a letter or digit always begins a pre-token of its own: words are known without their marks.
+MARKS = r"([\p{L}\p{N}])([.,;:!?])"
 
 
-def text_encoder(path: str, units_kept: int = CACHE_UNITS) -> Callable[[list[str]], list[bytes]]:
+class _Units:
+    """Ids of the units that a worker has met, as one ragged array, and the place of each unit in it.
+
+    When there are more than ``most`` units, those met in the fewest slices go.
+    """
+
+    def __init__(self, library, most: int):
+        self.library, self.most = library, most
+        self.line_feed = self._ids(["\n"])[0]
+        self.place: dict[str, int] = {}
+        self.start, self.met = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and number of ids of units. The library gets several at a time, as lines: a line feed is a token there."""
+        plain = [u[1:] if u[0] == LINE_START else " " + u for u in units]
+        ids = self._ids(["\n".join(plain[i:i + LINES]) + "\n" for i in range(0, len(plain), LINES)])
+        together = np.concatenate(ids)
+        cuts = np.flatnonzero(together == self.line_feed[0])
+        if len(self.line_feed) == 1 and len(cuts) == len(units):
+            return np.delete(together, cuts), np.diff(cuts, prepend=-1) - 1
+        ids = self._ids(plain)
+        return np.concatenate(ids), np.array([len(i) for i in ids])
+
+    def places(self, units: list[str]) -> np.ndarray:
+        """The place of each of a slice's distinct units; new ones are encoded."""
+        if len(self.place) > self.most:
+            self._forget()
+        known = self.place.get
+        places = [known(u, -1) for u in units]
+        new = [u for u, p in zip(units, places) if p < 0 and u != "\n"]
+        places = np.array(places, np.int64)
+        missing = places < 0
+        if missing.any():
+            ids, sizes = self._encoded(new) if new else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+            if len(new) < missing.sum():
+                new, ids, sizes = [*new, "\n"], np.append(ids, self.line_feed), np.append(sizes, len(self.line_feed))
+            first = len(self.met)
+            self.place.update(zip(new, range(first, first + len(new))))
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+            self.ids = np.concatenate([self.ids, ids])
+            self.met = np.concatenate([self.met, np.zeros(len(sizes), np.int64)])
+            places[missing] = [self.place[units[i]] for i in np.flatnonzero(missing).tolist()]
+        self.met[places] += 1
+        return places
+
+    def _forget(self) -> None:
+        units, size = np.array(list(self.place), object), np.diff(self.start)
+        keep = np.sort(np.argsort(-self.met, kind="stable")[: self.most // 2])
+        self.place = {u: i for i, u in enumerate(units[keep])}
+        self.ids = self.ids[_ragged(self.start[keep], size[keep])]
+        self.start = np.concatenate([[0], np.cumsum(size[keep])])
+        self.met = self.met[keep] // 2
+
+
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions start, start + 1, … of runs, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+def text_encoder(path: str, units_kept: int = CACHE_UNITS) -> Callable[[pa.Array | list[str]], list[bytes]]:
     """Ids of texts as the tokenizers library gives them, as bytes, each unit encoded once.
 
     For byte-level vocabularies, whose splitting never looks across a unit: the characters between two
-    blanks or line feeds, with the blank before them. Units found before are taken from a table that lives as
-    long as the worker process; when it gets large, it keeps those met since it last did. Texts with unusual
-    characters or runs of white space go in as a whole.
+    blanks or line feeds, with the blank before them, cut before marks. A slice's texts are split and their units numbered by
+    Arrow; only distinct units are looked up in a table that lives as long as the worker process, and the
+    ids of all words are gathered from it at once. Texts with unusual characters or runs of white space go to
+    the library as a whole.
     """
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
-    special = [t.content for t in library.get_added_tokens_decoder().values()]
-    known: dict[str, bytes] = {}
-    older: dict[str, bytes] = {}
-
-    def ids(texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def whole(text: str) -> bool:
-        return bool(
-            text[-1:] in ("", " ", "\n") or UNUSUAL.search(text) or any(r in text for r in RUNS)
-            or any(s in text for s in special)
-        )
-
-    def learn(units: list[str]) -> None:
-        """A unit has a blank before it, unless it begins a line or is the line feed."""
-        nonlocal known, older
-        if len(known) > units_kept:
-            known, older = {}, known
-        found = list(map(older.get, units))
-        known.update((u, f) for u, f in zip(units, found) if f is not None)
-        units = [u for u, f in zip(units, found) if f is None]
-        plain = [u[1:] if u[0] == LINE_START else u if u == "\n" else " " + u for u in units]
-        known.update(zip(units, ids(plain)))
-
-    def encode(texts: list[str]) -> list[bytes]:
+    special = [re.escape(t.content) for t in library.get_added_tokens_decoder().values()]
+    whole = "|".join([f"[^{USUAL}]", AHEAD, *special])
+    units = _Units(library, units_kept)
+
+    def by_units(texts: pa.Array) -> list[bytes]:
+        lines = pc.replace_substring(texts, "\n", f" \n {LINE_START}")
+        lines = pc.replace_substring_regex(lines, MARKS, f"\\1 {LINE_START}\\2")
+        words = pc.split_pattern(pc.binary_join_element_wise(pa.scalar(LINE_START), lines, pa.scalar("")), " ")
+        coded = words.flatten().dictionary_encode()
+        place = units.places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        starts = units.start[place]
+        sizes = units.start[place + 1] - starts
+        ids = units.ids[_ragged(starts, sizes)].astype("<u4", copy=False).tobytes()
+        ends = 4 * np.concatenate([[0], np.cumsum(sizes)])
+        bounds = ends[np.asarray(words.offsets) - words.offsets[0].as_py()].tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode(texts: pa.Array | list[str]) -> list[bytes]:
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        direct = np.asarray(pc.match_substring_regex(texts, whole).to_numpy(zero_copy_only=False), bool)
         out: list[bytes] = [b""] * len(texts)
-        direct, waiting, new = [], [], set()
-        for i, text in enumerate(texts):
-            if whole(text):
-                direct.append(i)
-                continue
-            units = (LINE_START + text.replace("\n", " \n " + LINE_START)).split(" ")
-            found = list(map(known.get, units))
-            if None in found:
-                waiting.append((i, units, found))
-                new.update(u for u, f in zip(units, found) if f is None)
-            else:
-                out[i] = b"".join(found)
-        learn(list(new))
-        for i, units, found in waiting:
-            out[i] = b"".join([known[u] if f is None else f for u, f in zip(units, found)])
-        for i, found in zip(direct, ids([texts[i] for i in direct])):
-            out[i] = found
+        if not direct.all():
+            for i, found in zip(np.flatnonzero(~direct).tolist(), by_units(texts.filter(pa.array(~direct)))):
+                out[i] = found
+        if direct.any():
+            odd = texts.filter(pa.array(direct)).to_pylist()
+            for i, e in zip(np.flatnonzero(direct).tolist(), library.encode_batch_fast(odd, add_special_tokens=False)):
+                out[i] = array("I", e.ids).tobytes()
         return out
 
     return encode
@@ -219,7 +273,7 @@ def write_token_files(
             if writer is None:
                 uri = f"{folder}/ids-{uuid.uuid4().hex}.zst"
                 writer, first = TokenFileWriter(uri), (keys[0], batch.column(2)[0].as_py())
-            for one, ids in zip(keys, encode(batch.column(1).to_pylist())):
+            for one, ids in zip(keys, encode(batch.column(1))):
                 writer.append(one, ids + end)
         if writer is not None:
             size = writer.close()
@@ -245,7 +299,7 @@ def read_token_files(manifest: DataFrame, wanted: list[int] | None = None, *, wi
     in_order = W.orderBy(F.col("first_key").asc_nulls_first(), "first_order", "file")
     before = F.sum("n_ids").over(in_order.rowsBetween(W.unboundedPreceding, -1))
     files = manifest.select("file", F.coalesce(before, F.lit(0)).alias("before"))
-    files = files.repartition(max(1, manifest.count()), "file")
+    files = files.repartitionByRange(max(1, manifest.count()), "before")  # no two files begin at the same place
     keys = None if wanted is None else set(wanted)
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
