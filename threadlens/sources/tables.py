@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.operators.labels import split_excluded
+from threadlens.sources.quoted_csv import read_quoted_csv
 
 CSV_TEXT = {
     "header": True, "quote": '"', "escape": '"',
@@ -28,9 +29,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A CSV table of a known schema; texts may have line breaks and doubled quotes."""
-    return spark.read.schema(schema).options(**CSV_TEXT, multiLine=True, timestampFormat=TIMESTAMP).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, quoted_newlines: bool = True) -> DataFrame:
+    """A CSV table of a known schema with doubled quotes and, unless told otherwise, line breaks inside quotes."""
+    if quoted_newlines:
+        return read_quoted_csv(spark, path, schema, timestampFormat=TIMESTAMP)
+    return spark.read.schema(schema).options(**CSV_TEXT, timestampFormat=TIMESTAMP).csv(path)
 
 
 def write_split(assigned: DataFrame, path: str) -> None:

@@ -7,21 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.functions.scalars import parse_inbound, parse_posted_at
+from threadlens.sources.quoted_csv import QUOTED, read_quoted_csv
 
 RAW_COLUMNS = (
     "tweet_id", "author_id", "inbound", "created_at", "text", "response_tweet_id", "in_response_to_tweet_id",
 )
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
-CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
 def read_raw(spark: SparkSession, path: str, quoted_newlines: bool = True) -> DataFrame:
-    """Raw CSV, all columns as text.
+    """Raw CSV, all columns as text; large files are split.
 
-    A file with line breaks inside quotes cannot be split: give large data as many files, or
-    set ``quoted_newlines`` to false where no text has a line break.
+    Where no text has a line break, ``quoted_newlines`` = False saves a pass over the files.
     """
-    return spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS, multiLine=quoted_newlines).csv(path)
+    if quoted_newlines:
+        return read_quoted_csv(spark, path, RAW_SCHEMA)
+    return spark.read.schema(RAW_SCHEMA).options(**QUOTED, header=True).csv(path)
 
 
 def typed(raw: DataFrame) -> DataFrame:
