@@ -37,15 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import stored
+from threadlens.llm.common import release, stored
 from threadlens.llm.slices import (
     answers_for, checksum, mixed, packed, partition, read_answers, slices, store_answers, unpacked,
 )
 from threadlens.operators.ranking import top_n_per_group
 
 LONGEST = 4
-BUDGET = 1_000_000  # suffixes of a group
+BUDGET = 500_000  # suffixes of a group
 MOST_PREFIXES = 1_000_000
+SLICE_BYTES = 2_000_000  # of text; its suffixes take about 30 times as much memory
 BUCKET_BYTES = 24_000_000  # of text; a bucket counts the words whose hash names it
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
 NO_LANGUAGE = "und"
@@ -181,7 +182,7 @@ NODE = ", ".join(f"{w} bigint" for w in WORDS) + ", a bigint"
 
 def _ask_words(buckets: int):
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, rows in slices(batches, "body"):
+        for number, rows in slices(batches, "body", SLICE_BYTES):
             own = Slice(rows)
             found = [
                 (partition(), number, own.mark, bucket, own.langs[lang].as_py(), _END.join(own.pair_word.take(pa.array(pairs)).to_pylist()),
@@ -192,6 +193,7 @@ def _ask_words(buckets: int):
                 types = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.binary(), pa.binary())
                 names = ("part", "slice", "mark", "bucket", "lang", "words", "pairs", "times")
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names=names)
+        release()
 
     return ask
 
@@ -249,10 +251,11 @@ _COUNTED = pa.schema([
 def _suffixes(batches: Iterable[pa.RecordBatch], counted: str, starts: dict[int, tuple[int, int]]) -> Iterator[Suffixes]:
     """The suffixes of each slice, from the words' numbers that were stored for it."""
     answers = read_answers(counted, partition(), ["bucket", "pairs", "numbers", "before", "times"])
-    for number, rows in slices(batches, "body"):
+    for number, rows in slices(batches, "body", SLICE_BYTES):
         if number in answers:
             own = Slice(rows)
             yield own.numbered(answers_for(answers, number, own.mark), starts)
+    release()
 
 
 def _longer_prefixes(rows: DataFrame, counted: str, starts: dict, prefixes: Prefixes) -> list[tuple]:
