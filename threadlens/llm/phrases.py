@@ -116,6 +116,8 @@ class Suffixes:
         self.words = [w[order][new] for w in words]
         self.counts = np.diff(np.append(new, len(order)))
         self.before, self.times = (a[starts][order][new] for a in (before, times))
+        known, first = np.unique(number, return_index=True)
+        self.known, self.known_times = known, times[first]
 
 
 class Prefixes:
@@ -264,7 +266,9 @@ def _longer_prefixes(rows: DataFrame, counted: str, starts: dict, prefixes: Pref
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in _suffixes(batches, counted, starts):
-            chosen = (prefixes.depth(found) >= length - 1) & (found.words[length - 1] > 0)
+            # a prefix beyond the budget has no word that is within it
+            often = found.known[found.known_times > prefixes.budget]
+            chosen = (prefixes.depth(found) >= length - 1) & np.isin(found.words[length - 1], often)
             words, n = [w[chosen] for w in found.words[:length]], found.counts[chosen]
             if len(n):  # the suffixes are in order, so equal beginnings follow each other
                 new = np.flatnonzero(np.concatenate([[True], np.any([w[1:] != w[:-1] for w in words], axis=0)]))
