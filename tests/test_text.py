@@ -1,7 +1,7 @@
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -98,8 +98,9 @@ def brute_force(pool, queries, k):
     return best
 
 
-@pytest.mark.parametrize("queries_in_block, characters_in_block", [(2_000, 4_000_000), (7, 60)])
-def test_retrieval_matches_brute_force(spark, monkeypatch, queries_in_block, characters_in_block):
+@pytest.mark.parametrize("queries_in_block, characters_in_block, words_broadcast", [(2_000, 4_000_000, 1000), (7, 60, 1000), (7, 60, 3)])
+def test_retrieval_matches_brute_force(spark, monkeypatch, queries_in_block, characters_in_block, words_broadcast):
+    monkeypatch.setattr(rt, "VOCABULARY_ROWS", words_broadcast)
     monkeypatch.setattr(rt, "QUERY_BLOCK", queries_in_block)
     monkeypatch.setattr(rt, "POOL_BLOCK", characters_in_block)
     rng = np.random.default_rng(2)
@@ -134,21 +135,87 @@ def test_excluded_ids_are_not_retrieved(spark):
     assert [r["brand_tweet_id"] for r in retriever.matches(asked, "q", "t", "i").collect()] == ["b2"]
 
 
-def test_blocks_of_rows_keep_the_best(monkeypatch):
-    """Queries and messages that come in several matrices give the same as one."""
+def vectors(rng, n, terms, most):
+    """Unit vectors over integer terms as lists."""
+    ids = [np.sort(rng.choice(terms, size=rng.integers(1, most), replace=False)) for _ in range(n)]
+    weights = [rng.random(len(i)) + 0.01 for i in ids]
+    return [i.tolist() for i in ids], [(w / np.linalg.norm(w)).tolist() for w in weights]
+
+
+@pytest.mark.parametrize("terms, most", [(9, 6), (400, 8)])
+def test_postings_and_matrices_keep_the_best(monkeypatch, terms, most):
+    """Any floor below the k-th best and any way of comparing give the same as all similarities."""
     rng = np.random.default_rng(4)
-    words = np.array([f"w{i}" for i in range(9)])
-    grams = lambda n: [rng.choice(words, size=rng.integers(0, 6)) for _ in range(n)]
-    messages = pd.DataFrame({"_pool": [f"p{i:02d}" for i in rng.permutation(50)], "_grams": grams(50)})
-    questions = pd.DataFrame({"_mark": [f"m{i}" for i in range(20)], "_query": "q", "_grams": grams(20), "_idf": None})
-    known = pd.DataFrame({"_mark": [None], "_query": [None], "_grams": [words], "_idf": [np.linspace(1, 2, 9)]})
-    questions = pd.concat([questions, known], ignore_index=True)
-    whole = rt._scorer(3)(messages, questions)
-    monkeypatch.setattr(rt, "CHUNK_ROWS", 4)
-    monkeypatch.setattr(rt, "MATRIX_CELLS", 27)
-    order = ["_mark", "similarity", "_pool"]
-    parts = [f.sort_values(order, ignore_index=True) for f in (whole, rt._scorer(3)(messages, questions))]
-    pd.testing.assert_frame_equal(*parts)
+    (pool_ids, pool_w), (ids, w) = vectors(rng, 80, terms, most), vectors(rng, 30, terms, most)
+    messages = pa.table({"_pool": [f"p{i:02d}" for i in rng.permutation(80)], "_ids": pool_ids, "_weights": pool_w})
+    dense = lambda i, v: np.bincount(i, v, minlength=terms)
+    expected, kth = [], []
+    for q in range(30):
+        every = sorted((-round(float(dense(ids[q], w[q]) @ dense(i, v)), 6), p) for p, i, v in zip(messages["_pool"].to_pylist(), pool_ids, pool_w))
+        top = [(f"m{q}", p, -s) for s, p in every if s < 0][:3]
+        expected += top
+        kth.append(top[2][2] if len(top) == 3 else 0.0)
+    for share, cells in ((0.0, 27), (0.5, 8_000_000), (100.0, 8_000_000)):
+        monkeypatch.setattr(rt, "DENSE_SHARE", share)
+        monkeypatch.setattr(rt, "MATRIX_CELLS", cells)
+        monkeypatch.setattr(rt, "CHUNK_ROWS", 7)
+        for part in (0.0, 0.5, 1.0):
+            visits = pa.table({"_mark": [f"m{q}" for q in range(30)], "_query": ["q"] * 30, "_ids": ids, "_weights": w,
+                               "_floor": [max(0.0, part * x - rt.MARGIN) for x in kth]})
+            found = rt._scorer(3)(messages, visits).to_pylist()
+            got = sorted((r["_mark"], r["_pool"], round(r["similarity"], 6)) for r in found)
+            assert got == sorted((m, p, round(s, 6)) for m, p, s in expected)
+
+
+def large_pool(spark, n, hot=0.0):
+    """Messages with a common word and two rare ones, each shared by four; a part of them in one intent and on one topic."""
+    mine = F.col("id") % 100 < 100 * hot
+    rows = spark.range(n).select(
+        F.format_string("p%07d", "id").alias("brand_tweet_id"),
+        F.when(mine, "hot").otherwise(F.concat(F.lit("i"), (F.floor(F.col("id") / 12) % 3).cast("string"))).alias("intent"),
+        F.concat_ws(" ", F.lit("common"), F.when(mine, "topic"), F.concat(F.lit("a"), F.floor(F.col("id") / 4)),
+                    F.concat(F.lit("b"), F.col("id") * 13 % (n // 4))).alias("customer_text"),
+        F.lit("reply").alias("brand_text"))
+    return rows.withColumn("customer_tweet_id", F.col("brand_tweet_id"))
+
+
+def test_a_skewed_intent_and_a_skewed_topic(spark, monkeypatch):
+    """A third of the pool has one intent and one word in common; the shards stay small and the rows right."""
+    monkeypatch.setattr(rt, "POOL_BLOCK", 2_000)
+    monkeypatch.setattr(rt, "QUERY_BLOCK", 20)
+    pool = large_pool(spark, 1_500, hot=0.34)
+    retriever = rt.Retriever(pool, fe.TextOptions(min_df=1, pairs=False), exclude=None)
+    queries = pool.filter(F.col("brand_tweet_id").endswith("7")).select(
+        F.col("brand_tweet_id").alias("q"), F.col("customer_text").alias("t"), F.col("intent").alias("i"))
+    rows = [tuple(r) for r in pool.select("brand_tweet_id", "customer_text", "intent", "brand_text").collect()]
+    asked = [tuple(r) for r in queries.collect()]
+    found = {}
+    for r in retriever.matches(queries, "q", "t", "i").orderBy("rank").collect():
+        found.setdefault(r["q"], []).append((r["brand_tweet_id"], round(r["similarity"], 6)))
+    assert found == {q: [(i, round(s, 6)) for i, s in m] for q, m in brute_force(rows, asked, 3).items()}
+    sizes = [r["count"] for r in retriever.shards.groupBy("_intent", "_shard").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 1_500 / 6
+
+
+def test_visits_grow_with_pool_and_queries(spark, monkeypatch):
+    """At the same selectivity, twice the messages and queries make about twice the visits, not four times."""
+    monkeypatch.setattr(rt, "POOL_BLOCK", 4_000)
+    counts = []
+    for n in (3_000, 6_000):
+        pool = large_pool(spark, n)
+        retriever = rt.Retriever(pool, fe.TextOptions(min_df=1, pairs=False), exclude=None)
+        queries = pool.filter(F.col("brand_tweet_id").endswith("3")).select(
+            F.col("brand_tweet_id").alias("q"), F.col("customer_text").alias("t"), F.col("intent").alias("i"))
+        seen = []
+        whole = rt.Retriever.visits
+        monkeypatch.setattr(rt.Retriever, "visits", lambda *a: seen.append(whole(*a)) or seen[-1])
+        assert retriever.matches(queries, "q", "t", "i").count() == 3 * queries.count()
+        monkeypatch.setattr(rt.Retriever, "visits", whole)
+        shards = retriever.shards.select("_intent", "_shard").distinct().count()
+        counts.append((queries.count(), shards, seen[0].count()))
+    (few, _, visits), (many, shards, more) = counts
+    assert many == 2 * few and rt.HOMES * many + more < 2.3 * (rt.HOMES * few + visits)
+    assert 0 < more < 0.1 * many * shards / 3
 
 
 def test_repeated_query_ids_and_many_intents(spark):
@@ -169,7 +236,7 @@ def test_repeated_query_ids_and_many_intents(spark):
     tops = {(r["q"], r["t"]): r["exemplars"][0]["customer_text"] for r in lists if r["exemplars"]}
     assert tops["same", "red bus"] == "red bus" and tops["same", "red van"] == "red van" and tops[None, "red car"] == "red car"
     many = retriever.matches(asked, "q", "t", "i")._jdf.queryExecution().analyzed().toString()
-    assert many.count("FlatMapCoGroupsInPandas") == 1  # whatever the number of queries
+    assert many.count("FlatMapCoGroupsInArrow") == 1  # whatever the number of queries
 
 
 def test_retrieval_of_empty_tables(spark):
