@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import with_grams
@@ -17,7 +18,7 @@ from threadlens.operators import labels as lb
 from threadlens.operators.features import TextModel, TextOptions, fit_text_model, vocabulary, vocabulary_union
 from threadlens.operators.retrieve import Retriever
 from threadlens.operators.sampling import random_rows
-from threadlens.session import scratch_path
+from threadlens.session import cut_lineage, scratch_path
 from workload.labels import SEED
 from workload.registry import SpreadTables, Tables
 from workload.registry import query as register
@@ -102,13 +103,36 @@ def vectors(t: Tables) -> DataFrame:
     )
 
 
-@register("t3_kmeans_sweep")
+def topic_vectors(t: Tables) -> DataFrame:
+    """TF-IDF vectors of all documents, stored."""
+    docs = t.documents.select("doc_id", "text")
+    return cut_lineage(fit_text_model(docs, "text", topic_options()).vectors(docs, "text").select("doc_id", "features"))
+
+
+@query("t3_kmeans_sweep")
 def t3(t: Tables) -> DataFrame:
-    found = cu.sweep_kmeans(vectors(t), "features", "vec_id", K_CANDIDATES, SEED)
+    found = cu.sweep_kmeans(topic_vectors(t), "features", "doc_id", K_CANDIDATES, SEED)
     rows = [(k, cost, score, k == found.k) for k, cost, score in found.scores]
     return t.spark.createDataFrame(rows, "k int, training_cost double, silhouette double, selected boolean")
 
 
+_CERTIFIED = "TRUE AS nearest, TRUE AS centred"
+
+
+@query("t3_sweep_certificate", f"""SELECT CAST(k AS INTEGER) AS k, (SELECT COUNT(*) FROM documents) AS n_rows, {_CERTIFIED}, TRUE AS best_selected
+FROM (SELECT UNNEST([6, 8, 10, 12]) AS k) WHERE k < (SELECT COUNT(*) FROM documents)""")
+def t3_certificate(t: Tables) -> DataFrame:
+    """Each k's fit is at rest, and no k has a better silhouette than the one selected."""
+    rows = topic_vectors(t)
+    found = cu.sweep_kmeans(rows, "features", "doc_id", K_CANDIDATES, SEED)
+    best = all(score <= found.silhouette for _, _, score in found.scores)
+    checks = [
+        cu.fixed_point(rows, found.models[k], "doc_id", 1e-4).select(F.lit(k).alias("k"), "n_rows", "nearest", "centred")
+        for k, _, _ in found.scores
+    ]
+    return reduce(DataFrame.unionByName, checks).withColumn("best_selected", F.lit(best))
+
+
 _SILHOUETTE = """WITH s AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
 ORDER BY MD5(CONCAT('42:', vec_id)), vec_id LIMIT 1000),
 d AS (SELECT a.vec_id, a.label, b.label AS other, LIST_DISTANCE(a.x, b.x) AS d FROM s a JOIN s b ON a.vec_id <> b.vec_id),
@@ -137,19 +161,55 @@ def t5(t: Tables) -> DataFrame:
 @register("t5_assign_clusters")
 def t5_model(t: Tables) -> DataFrame:
     rows = vectors(t)
-    model = cu.fit_kmeans(rows, "features", 10, SEED)
+    model = cu.fit_kmeans(rows, "features", "vec_id", 10, SEED)
     return model.transform(rows).select("vec_id", "label", "cluster_id")
 
 
-@query("m7_cluster_samples")
-def m7(t: Tables) -> DataFrame:
+@register("t5_assignment_certificate", f"SELECT COUNT(*) AS n_rows, {_CERTIFIED}, TRUE AS same_when_loaded FROM embeddings")
+def t5_certificate(t: Tables) -> DataFrame:
+    """A saved and loaded fit gives each row its nearest centre, and each centre is the mean of its rows."""
+    rows, path = vectors(t), scratch_path(t.spark, "clusters")
+    model = cu.fit_kmeans(rows, "features", "vec_id", 10, SEED)
+    model.save(t.spark, path)
+    loaded = cu.ClusterModel.load(t.spark, path)
+    return cu.fixed_point(rows, loaded, "vec_id", 1e-4).withColumn("same_when_loaded", F.lit(loaded == model))
+
+
+def cluster_sheet(t: Tables) -> tuple[DataFrame, DataFrame, cu.ClusterModel]:
+    """Samples of each topic, the assigned documents, and the fit."""
     docs = t.documents.select("doc_id", "text")
     text_model = fit_text_model(docs, "text", topic_options())
-    rows = text_model.vectors(docs, "text")
-    model = cu.fit_kmeans(rows.select("features"), "features", 8, SEED, starts=2)
-    assigned = model.transform(rows).select("doc_id", "text", "cluster_id")
-    tops = cu.top_terms(model, text_model.terms, docs)
-    return cu.cluster_samples(assigned, tops, "doc_id", "text", 6, SEED)
+    rows = cut_lineage(text_model.vectors(docs, "text"))
+    found = cu.sweep_kmeans(rows, "features", "doc_id", K_CANDIDATES, SEED)
+    assigned = cut_lineage(found.model.transform(rows).select("doc_id", "text", "cluster_id"))
+    tops = cu.top_terms(found.model, text_model.terms, docs)
+    return cu.cluster_samples(assigned, tops, "doc_id", "text", 6, SEED), assigned, found.model
+
+
+@query("m7_cluster_samples")
+def m7(t: Tables) -> DataFrame:
+    return cluster_sheet(t)[0]
+
+
+@query("m7_sample_certificate", """SELECT COUNT(*) AS n_documents, TRUE AS all_clusters, TRUE AS right_size, TRUE AS first_by_digest,
+  TRUE AS ten_terms FROM documents""")
+def m7_certificate(t: Tables) -> DataFrame:
+    """All clusters have their sheet: the first six texts by digest, or all if there are fewer, with the cluster's size."""
+    sheet, assigned, _ = cluster_sheet(t)
+    sheet = cut_lineage(sheet)
+    place = F.row_number().over(W.partitionBy("cluster_id").orderBy(F.md5(F.concat(F.lit(f"{SEED}:"), F.col("doc_id").cast("string"))), "doc_id"))
+    drawn = assigned.withColumn("place", place).filter("place <= 6")
+    sizes = assigned.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
+    shown = sheet.groupBy("cluster_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("cluster_size").alias("told"), F.max("top_terms").alias("terms"),
+        F.sort_array(F.collect_list("sample_text")).alias("texts"))
+    wanted = drawn.groupBy("cluster_id").agg(F.sort_array(F.collect_list("text")).alias("wanted"))
+    return sizes.join(shown, "cluster_id", "full").join(wanted, "cluster_id", "full").agg(
+        F.sum("size").alias("n_documents"),
+        F.bool_and(F.col("told").isNotNull() & F.col("size").isNotNull()).alias("all_clusters"),
+        F.bool_and((F.col("told") == F.col("size")) & (F.col("rows") == F.least(F.col("size"), F.lit(6)))).alias("right_size"),
+        F.bool_and(F.col("texts") == F.col("wanted")).alias("first_by_digest"),
+        F.bool_and(F.size(F.split("terms", ", ")) == 10).alias("ten_terms"))
 
 
 def training_pool(t: Tables) -> DataFrame:
