@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
@@ -12,24 +12,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.functions.text import with_grams, with_marked_terms
-from threadlens.functions.words import WORD
+from threadlens.functions.words import WORD, stop_words
 from threadlens.operators.ranking import top_n_per_group
 
 
 @dataclass(frozen=True)
 class TextOptions:
-    """How texts become terms, and which terms a vocabulary keeps."""
+    """How texts become terms, and which terms a vocabulary keeps.
+
+    ``stop`` lists the words left out: English ones if None, none if empty.
+    """
 
     max_features: int = 10_000
     min_df: int = 2
     pattern: str = WORD
-    stop: Sequence[str] = field(default_factory=tuple)
+    stop: Sequence[str] | None = None
     pairs: bool = True
 
+    def grams(self, df: DataFrame, text: str, out: str) -> DataFrame:
+        """Add the terms of a text, in order."""
+        stop = stop_words() if self.stop is None else self.stop
+        return with_grams(df, text, out, self.pattern, stop, self.pairs)
+
 
 def _term_counts(df: DataFrame, text: str, options: TextOptions, *by: str) -> DataFrame:
     """Documents (``df``) and occurrences (``total``) of each term that is in enough documents."""
-    grams = with_grams(df, text, "_grams", options.pattern, options.stop, options.pairs)
+    grams = options.grams(df, text, "_grams")
     return (
         with_marked_terms(grams, "_grams", "_terms")
         # The outer form: for the plain one Spark adds a filter that makes all terms once more.
@@ -106,7 +114,7 @@ class TextModel:
 
     def vectors(self, df: DataFrame, text: str, out: str = "features") -> DataFrame:
         """Add the TF-IDF vector of a text; a text without known terms gets a zero vector."""
-        grams = with_grams(df, text, "_grams", self.options.pattern, self.options.stop, self.options.pairs)
+        grams = self.options.grams(df, text, "_grams")
         return self.weighing.apply(grams, out).drop("_grams")
 
     def weights(self, df: DataFrame, text: str, key: str) -> DataFrame:
@@ -126,7 +134,7 @@ class TextModel:
         """Write the vocabulary, its idf and its settings below ``path``."""
         o = self.options
         self.weighing.counter.write().overwrite().save(f"{path}/counter")
-        row = (list(self.weighing.idf), o.max_features, o.min_df, o.pattern, list(o.stop), o.pairs)
+        row = (list(self.weighing.idf), o.max_features, o.min_df, o.pattern, None if o.stop is None else list(o.stop), o.pairs)
         schema = (
             "idf array<double>, max_features int, min_df int, pattern string, stop array<string>, pairs boolean"
         )
@@ -136,7 +144,7 @@ class TextModel:
     def load(spark: SparkSession, path: str) -> TextModel:
         """Read a saved vocabulary; nothing is fitted again."""
         row = spark.read.parquet(f"{path}/settings").first()
-        options = TextOptions(row.max_features, row.min_df, row.pattern, tuple(row.stop), row.pairs)
+        options = TextOptions(row.max_features, row.min_df, row.pattern, None if row.stop is None else tuple(row.stop), row.pairs)
         return TextModel(options, Weights(CountVectorizerModel.load(f"{path}/counter"), tuple(row.idf)))
 
 

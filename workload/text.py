@@ -235,6 +235,27 @@ def t6(t: Tables) -> DataFrame:
     return ev.classification_report(model.predict(golden, "customer_text"), "gold_intent", "pred")
 
 
+@query("t6_optimality_certificate", _POOL + """SELECT intent, COUNT(*) AS n, TRUE AS at_minimum FROM pool WHERE intent IS NOT NULL GROUP BY intent""")
+def t6_certificate(t: Tables) -> DataFrame:
+    """No derivative of the penalised loss by a fitted weight is larger than 1/1000."""
+    train = cut_lineage(training_pool(t).select("customer_text", "intent"))
+    model = cl.fit_classifier(train, "customer_text", CLASSIFIER)
+    slopes = cl.gradient(model, train, "customer_text")
+    return slopes.select("intent", "n", (F.col("steepest") < 1e-3).alias("at_minimum"))
+
+
+@query("t7_prediction_certificate", with_views("golden") + """SELECT customer_tweet_id, gold_intent, TRUE AS largest_margin FROM golden""")
+def t7_certificate(t: Tables) -> DataFrame:
+    """The predicted intent of a saved and loaded classifier is the class with the largest margin."""
+    path = scratch_path(t.spark, "classifier")
+    cl.fit_classifier(training_pool(t), "customer_text", CLASSIFIER).save(t.spark, path)
+    model = cl.IntentClassifier.load(t.spark, path)
+    golden = view(t, "golden").select("customer_tweet_id", "customer_text", "gold_intent")
+    both = model.margins(model.predict(golden, "customer_text"), "customer_text", "m")
+    chosen = F.element_at("m", F.array_position(F.array(*[F.lit(name) for name in model.labels]), F.col("pred")).cast("int"))
+    return both.select("customer_tweet_id", "gold_intent", (chosen >= F.array_max("m") - 1e-9).alias("largest_margin"))
+
+
 @query("t7_predict_intents")
 def t7(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "classifier")
