@@ -108,14 +108,14 @@ def j1(t: Tables) -> DataFrame:
     return flat(pairs(t))
 
 
-@query("j2_prior_context", PAIRS + "SELECT brand_tweet_id, prior_context FROM pairs WHERE prior_context IS NOT NULL")
+@query("j2_prior_context", PAIRS + "SELECT brand_tweet_id, prior_context FROM pairs")
 def j2(t: Tables) -> DataFrame:
-    return pairs(t).filter("prior_context IS NOT NULL").select("brand_tweet_id", "prior_context")
+    return pairs(t).select("brand_tweet_id", "prior_context")
 
 
-@query("j3_followup", PAIRS + "SELECT brand_tweet_id, followup_text FROM pairs WHERE followup_text IS NOT NULL")
+@query("j3_followup", PAIRS + "SELECT brand_tweet_id, followup_text FROM pairs")
 def j3(t: Tables) -> DataFrame:
-    return pairs(t).filter("followup_text IS NOT NULL").select("brand_tweet_id", "followup_text")
+    return pairs(t).select("brand_tweet_id", "followup_text")
 
 
 @query("j4_pair_drop_counts", with_views("tweets") + """SELECT COUNT(*) AS brand_tweets,

@@ -265,8 +265,8 @@ def t7(t: Tables) -> DataFrame:
     return model.predict(golden, "customer_text").drop("customer_text")
 
 
-_RETRIEVAL = with_views("labeled_docs", "golden") + """, asked AS (
-SELECT REGEXP_REPLACE(customer_tweet_id, '\\.0+$', '') AS id, customer_text AS text, gold_intent AS intent FROM golden),
+RETRIEVAL_SQL = """asked AS (
+SELECT REGEXP_REPLACE(customer_tweet_id, '\\.0+$', '') AS id, customer_text AS text, {intent} AS intent FROM golden),
 usable AS (SELECT customer_tweet_id AS id, customer_text AS text, intent FROM labeled_docs
   WHERE brand_text IS NOT NULL AND brand_text <> '' AND customer_tweet_id NOT IN (SELECT id FROM asked)),
 both_sides AS (SELECT 'q' AS side, * FROM asked WHERE intent IS NOT NULL UNION ALL SELECT 'p', * FROM usable),
@@ -284,6 +284,14 @@ top AS (SELECT * FROM best WHERE rank <= 3)
 """
 
 
+def retrieval_sql(intent: str) -> str:
+    """The best three messages per golden row, whose intent the expression gives."""
+    return with_views("labeled_docs", "golden") + ", " + RETRIEVAL_SQL.replace("{intent}", intent)
+
+
+_RETRIEVAL = retrieval_sql("gold_intent")
+
+
 def retriever(t: Tables) -> Retriever:
     return Retriever(
         view(t, "labeled_docs"), RETRIEVAL, key="customer_tweet_id", exclude=view(t, "golden"),
