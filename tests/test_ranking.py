@@ -86,3 +86,28 @@ def test_random_rows_are_the_first_by_digest(spark):
     for n in (0, 1, 7, 501, 900):
         whole = df.orderBy(sm.seeded_order(42, F.col("id")), "id").limit(n).collect()
         assert sm.random_rows(df, "id", n, 42).collect() == whole
+
+
+def test_a_million_reals_of_about_the_same_size(spark):
+    """All of them are below 0.01; ranges are even all the same, and quantiles and ranks exact."""
+    values = spark.range(1_000_000).select((F.pmod(F.xxhash64("id"), F.lit(10**12)) / 10**14).alias("x"), F.lit("g").alias("g"))
+    every = np.sort(np.array([r[0] for r in values.select("x").collect()]))
+    found = rk.quantiles(values, "x", {"a": 0.1, "b": 0.5, "c": 0.999}).first()
+    assert list(found) == pytest.approx(list(np.quantile(every, [0.1, 0.5, 0.999])), rel=1e-12)
+    counts = rk.value_counts(values, "x", ["g"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with ranges of full size
+    try:
+        _, ranges = rk.in_ranges(counts, ["g", "x"])
+        sizes = [r["count"] for r in ranges.count().collect()]
+        ranked = rk.running_counts(counts, "x", ["g"])
+        assert ranked.agg(F.sum(F.col("before"))).first()[0] == 10**6 * (10**6 - 1) // 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 8 and max(sizes) < 1.5 * 10**6 / 8
+
+
+def test_running_counts_of_groups(spark):
+    rows = [("a", 2.0, 3), ("a", -1.0, 1), ("b", 5.0, 2), ("a", 7.5, 4), (None, 1.0, 9)]
+    counts = spark.createDataFrame(rows, "g string, x double, n bigint")
+    found = {(r["g"], r["x"]): (r["before"], r["total"]) for r in rk.running_counts(counts, "x", ["g"]).collect()}
+    assert found == {("a", -1.0): (0, 8), ("a", 2.0): (1, 8), ("a", 7.5): (4, 8), ("b", 5.0): (0, 2)}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,7 +12,6 @@ from threadlens.session import cut_lineage
 
 GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 PRE_SPLITS = 256
-PART_ROWS = 500_000
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -24,30 +23,43 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     )
 
 
-def _band(value: Column) -> Column:
-    """Coarse band number that grows with the value: 64 bands per doubling, both signs."""
-    return (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * 64)).cast("int")
+def in_ranges(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, GroupedData]:
+    """The rows in ranges of the order, with ``_range`` and ``_at`` (their place in it), stored; and the ranges.
+
+    Spark draws the borders from a sample of the rows, so ranges have about the same number of rows whatever the
+    values are. There are no more ranges than partitions of one shuffle: a table of them may always be broadcast.
+    """
+    number = F.monotonically_increasing_id()  # the partition in the high bits, the row's place in the low 33
+    placed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_number", number))
+    low = F.lit((1 << 33) - 1)
+    rows = placed.withColumns({"_range": F.shiftright("_number", 33), "_at": F.col("_number").bitwiseAND(low)}).drop("_number")
+    return rows, rows.groupBy("_range")
+
+
+def _offsets(totals: DataFrame, total: str, out: str) -> DataFrame:
+    """The sum of all earlier ranges' totals."""
+    before = F.sum(total).over(W.orderBy("_range")) - F.col(total)  # a row per range
+    return F.broadcast(totals.select("_range", before.alias(out)))
 
 
 def running_counts(counts: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Add ``before`` (rows with a smaller value) and ``total`` to value counts.
 
-    Totals per band are few by construction and give each band its offset; the running sum
-    inside a band is a window over that band's distinct values alone.
+    The distinct values are dealt to ranges; the running sum inside a range is a window over its values alone.
+    Groups without a name (null) are left out.
     """
-    banded = counts.withColumn("_band", _band(F.col(value)))
-    bands = banded.groupBy(*by, "_band").agg(F.sum("n").alias("_band_rows"))
-    ordered = W.partitionBy(*by).orderBy("_band")
-    bands = bands.select(
-        *by, "_band",
-        (F.sum("_band_rows").over(ordered) - F.col("_band_rows")).alias("_offset"),
-        F.sum("_band_rows").over(W.partitionBy(*by)).alias("total"),
-    )
-    inside = W.partitionBy(*by, "_band").orderBy(value)
+    named = counts.dropna(subset=list(by)) if by else counts
+    rows, ranges = in_ranges(named, [*by, value])
+    inside = F.sum("n").over(W.partitionBy("_range").orderBy("_at")) - F.col("n")
+    running = rows.join(_offsets(ranges.agg(F.sum("n").alias("_rows")), "_rows", "_offset"), "_range").withColumn(
+        "_running", F.col("_offset") + inside)
+    if not by:
+        total = rows.agg(F.sum("n")).scalar()
+        return running.withColumn("before", F.col("_running")).withColumn("total", total).drop("_range", "_at", "_offset", "_running")
+    groups = running.groupBy(*by).agg(F.min("_running").alias("_first"), F.sum("n").alias("total"))
     return (
-        banded.join(bands, [*by, "_band"])
-        .withColumn("before", F.col("_offset") + F.sum("n").over(inside) - F.col("n"))
-        .drop("_band", "_offset")
+        running.join(groups, list(by)).withColumn("before", F.col("_running") - F.col("_first"))
+        .drop("_range", "_at", "_offset", "_running", "_first")
     )
 
 
@@ -106,21 +118,10 @@ def top_n_per_group(
 
 
 def number_by_hash(df: DataFrame, digest: str, tie: str, out: str) -> DataFrame:
-    """Consecutive numbers from 0 in the order of a hexadecimal digest column.
+    """Consecutive numbers from 0 in the order of a digest column, then of ``tie``.
 
-    The digest's first digits cut the rows into even parts with known offsets, as many digits as parts of
-    ``PART_ROWS`` rows need (the rows are counted for it).
+    A row's number is the number of rows in all earlier ranges plus its place in its own.
     """
-    digits, rows = 1, df.count()
-    while rows > PART_ROWS * 16**digits:
-        digits += 1
-    parted = df.withColumn("_part", F.substring(F.col(digest), 1, digits))
-    sizes = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    before = F.sum("_rows").over(W.orderBy("_part")) - F.col("_rows")
-    offsets = F.broadcast(sizes.select("_part", before.alias("_before")))  # at most 16 * rows / PART_ROWS short rows
-    place = F.row_number().over(W.partitionBy("_part").orderBy(digest, tie))
-    return (
-        parted.join(offsets, "_part")
-        .withColumn(out, (F.col("_before") + place - 1).cast("bigint"))
-        .drop("_part", "_before")
-    )
+    rows, ranges = in_ranges(df, [digest, tie])
+    offsets = _offsets(ranges.agg(F.count(F.lit(1)).alias("_rows")), "_rows", "_before")
+    return rows.join(offsets, "_range").withColumn(out, (F.col("_before") + F.col("_at")).cast("bigint")).drop("_range", "_at", "_before")

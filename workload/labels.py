@@ -183,14 +183,17 @@ def j8_count(t: Tables) -> DataFrame:
     return lb.unlabeled_count(merged(t))
 
 
-@query("j8_require_complete", """SELECT CAST(l.doc_id AS STRING) AS example_id, d.lang AS suggested_intent,
-  CASE WHEN l.quality=0 THEN 'other' ELSE 'known' END AS gold_intent,
+@query("j8_require_complete", """SELECT CAST(d.doc_id AS STRING) AS example_id, d.lang AS suggested_intent,
+  CASE WHEN l.doc_id IS NULL THEN 'unseen' WHEN l.quality=0 THEN 'other' ELSE 'known' END AS gold_intent,
   CASE WHEN l.toxic=1 THEN 'True' ELSE 'False' END AS gold_escalate
-FROM labels l JOIN documents d ON l.doc_id=d.doc_id""")
+FROM documents d LEFT JOIN labels l ON l.doc_id=d.doc_id""")
 def j8_complete(t: Tables) -> DataFrame:
-    labels = view(t, "hand_labels")
-    labelled = view(t, "sheet").join(labels.select("example_id"), "example_id", "left_semi")
-    done = lb.require_complete(lb.merge_labels(labelled, labels))
+    """The whole sheet; rows that nobody has labelled get a label that says so."""
+    labels, sheet = view(t, "hand_labels"), view(t, "sheet")
+    rest = sheet.join(labels.select("example_id"), "example_id", "left_anti").select(
+        "example_id", F.lit("unseen").alias("gold_intent"), F.lit("False").alias("gold_escalate"),
+        F.lit("").alias("escalate_reason"), F.lit("").alias("labeler_notes"))
+    done = lb.require_complete(lb.merge_labels(sheet, labels.select(*rest.columns).unionByName(rest)))
     return done.select("example_id", "suggested_intent", "gold_intent", "gold_escalate")
 
 
