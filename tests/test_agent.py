@@ -124,6 +124,51 @@ def test_resumed_runs_do_each_row_once(spark, tmp_path):
     assert {r["run"]: r["count"] for r in spark.read.parquet(path).groupBy("run").count().collect()} == {"third": 20}
 
 
+def test_a_stopped_run_goes_on_where_it_was(spark, tmp_path, monkeypatch):
+    """Stopped in its third part, a run under the same name reads and does only what is left."""
+    path = str(tmp_path / "out")
+    rows = spark.range(200).withColumnRenamed("id", "example_id")
+    tag = lambda name: lambda df: df.withColumn("run", F.lit(name))
+    resume.append_new(rows.filter("example_id < 50"), path, "example_id", tag("old"), restart=True, commits=5)
+    done = []
+
+    def stopped(df):
+        done.append(len(done))
+        if len(done) == 3:
+            raise KeyboardInterrupt
+        return tag("first")(df)
+
+    with pytest.raises(KeyboardInterrupt):
+        resume.append_new(rows, path, "example_id", stopped, run="nightly")
+    read, whole = [], resume.finished
+    monkeypatch.setattr(resume, "finished", lambda s, p, k: read.append(p.rsplit("=")[-1]) or whole(s, p, k))
+    resume.append_new(rows, path, "example_id", tag("second"), run="nightly")
+    assert read == ["2", "3", "4"]  # each part once, and none that was finished
+    out = resume.output(spark, path)
+    assert sorted(r["example_id"] for r in out.collect()) == list(range(200)) and out.columns == ["example_id", "run"]
+    runs = {r["run"]: r["count"] for r in out.groupBy("run").count().collect()}
+    assert runs["old"] == 50 and runs["first"] > 20 and runs["second"] > 40
+    resume.append_new(rows, path, "example_id", tag("third"), run="nightly")
+    assert resume.output(spark, path).count() == 200
+
+
+def test_rows_without_an_id_are_done_once(spark, tmp_path):
+    path = str(tmp_path / "nameless")
+    rows = spark.createDataFrame([(None, "x"), (None, "a"), ("b", "y")], "example_id string, body string")
+    for _ in range(2):
+        resume.append_new(rows, path, "example_id", lambda df: df)
+    assert sorted((r["example_id"] or "", r["body"]) for r in resume.output(spark, path).collect()) == [("", "a"), ("b", "y")]
+
+
+def test_a_stream_keeps_ids_in_its_state(spark, tmp_path):
+    """Files that come later repeat ids; a batch that is run again overwrites its own folder."""
+    path, source, progress = (str(tmp_path / n) for n in ("out", "in", "progress"))
+    for first, last in ((0, 30), (20, 50), (10, 60)):
+        spark.range(first, last).coalesce(1).write.mode("append").parquet(source)
+        resume.append_stream(spark, source, "id bigint", path, "id", lambda df: df, progress, files_per_batch=1)
+    assert sorted(r["id"] for r in resume.output(spark, path).collect()) == list(range(60))
+
+
 def test_a_repeated_id_is_done_once(spark, tmp_path):
     path = str(tmp_path / "repeated")
     rows = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y")], "example_id string, body string")
