@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from threadlens.config import Settings
 from threadlens.functions.text import with_grams
 from threadlens.functions.words import DOMAIN_STOP_WORDS, LATIN_WORD, PROFILE_STOP_WORDS, WORD, stop_words
 from threadlens.operators import classify as cl
@@ -18,7 +19,11 @@ from threadlens.operators import labels as lb
 from threadlens.operators.features import TextModel, TextOptions, fit_text_model, vocabulary, vocabulary_union
 from threadlens.operators.retrieve import Retriever
 from threadlens.operators.sampling import random_rows
+from threadlens.plans import baseline as bl
+from threadlens.plans import topics as tp
 from threadlens.session import cut_lineage, scratch_path
+from threadlens.sources.tables import read_split
+from threadlens.sources.taxonomy import TAXONOMY_SCHEMA
 from workload.labels import SEED
 from workload.registry import SpreadTables, Tables
 from workload.registry import query as register
@@ -289,6 +294,51 @@ def retrieval_sql(intent: str) -> str:
     return with_views("labeled_docs", "golden") + ", " + RETRIEVAL_SQL.replace("{intent}", intent)
 
 
+@query("topics_plan_certificate", """SELECT COUNT(*) AS n_rows, TRUE AS all_assigned, TRUE AS right_intents, TRUE AS right_split, TRUE AS same_when_loaded
+FROM documents""")
+def topics_plan(t: Tables) -> DataFrame:
+    """Discovery on a sample, saved, loaded and applied to all rows, with every third cluster excluded."""
+    pairs, path = view(t, "labeled_docs").drop("intent"), scratch_path(t.spark, "topics")
+    found = tp.discover_topics(pairs, Settings(brand="brand"), topic_options(), "customer_tweet_id")
+    found.topics.save(t.spark, f"{path}/models")
+    topics = tp.Topics.load(t.spark, f"{path}/models")
+    k = topics.clusters.k
+    rows = [(c, 0, "", f"intent {c}", c % 3 != 0, "") for c in range(k)]
+    tp.label_pairs(pairs, topics, t.spark.createDataFrame(rows, TAXONOMY_SCHEMA), f"{path}/split")
+    labeled, excluded = read_split(t.spark, f"{path}/split")
+    every = labeled.withColumn("out", F.lit(False)).unionByName(excluded.withColumn("out", F.lit(True)))
+    named = F.when(F.col("cluster_id") % 3 != 0, F.concat(F.lit("intent "), F.col("cluster_id").cast("string")))
+    return every.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bool_and(F.coalesce(F.col("cluster_id").between(0, k - 1), F.lit(False))).alias("all_assigned"),
+        F.bool_and(F.col("intent").eqNullSafe(named)).alias("right_intents"),
+        F.bool_and(F.col("out") == (F.col("cluster_id") % 3 == 0)).alias("right_split"),
+    ).withColumn("same_when_loaded", F.lit(topics.clusters == found.topics.clusters))
+
+
+def known_intents(t: Tables) -> DataFrame:
+    return t.documents.select(F.col("lang").alias("intent")).dropna().distinct()
+
+
+@query("baseline_plan_predictions", _POOL + """, majority AS (SELECT intent FROM pool WHERE intent IS NOT NULL GROUP BY intent ORDER BY COUNT(*) DESC, intent LIMIT 1)
+SELECT customer_tweet_id, gold_intent, (SELECT intent FROM majority) AS trivial_pred, TRUE AS simple_is_known FROM golden
+WHERE gold_intent IN (SELECT lang FROM documents)""")
+def baseline_predictions(t: Tables) -> DataFrame:
+    found = bl.evaluate_baselines(view(t, "labeled_docs"), view(t, "golden"), known_intents(t), CLASSIFIER)
+    known = F.col("simple_pred").isin(list(found.classifier.labels)).alias("simple_is_known")
+    return found.predictions.select("customer_tweet_id", "gold_intent", "trivial_pred", known)
+
+
+@query("baseline_plan_counts", _POOL + """, marked AS (SELECT COALESCE(gold_intent IN (SELECT lang FROM documents), FALSE) AS inside FROM golden)
+SELECT COUNT(*) FILTER (inside) AS scored, COUNT(*) FILTER (NOT inside) AS outside, ROUND(AVG(CAST(NOT inside AS DOUBLE)), 6) AS outside_share,
+  (SELECT COUNT(*) FROM labeled_docs) - (SELECT COUNT(*) FROM pool) AS rows_removed, 2::BIGINT AS tiers FROM marked""")
+def baseline_counts(t: Tables) -> DataFrame:
+    found = bl.evaluate_baselines(view(t, "labeled_docs"), view(t, "golden"), known_intents(t), CLASSIFIER)
+    return found.coverage.select(
+        "scored", "outside", F.round("outside_share", 6).alias("outside_share"),
+        found.removed.select("rows_removed").scalar().alias("rows_removed"),
+        found.report.agg(F.count_distinct("tier")).scalar().alias("tiers"))
+
+
 _RETRIEVAL = retrieval_sql("gold_intent")
 
 
