@@ -135,3 +135,18 @@ def test_pairs_survive_both_formats(spark, tweets, tmp_path):
     written = sorted(map(str, pairs.collect()))
     assert sorted(map(str, io.read_parquet(spark, str(tmp_path / "p")).collect())) == written
     assert sorted(map(str, io.read_csv(spark, str(tmp_path / "c"), pairs.schema).collect())) == written
+
+
+def test_first_of_duplicates_needs_texts_only_for_ties(spark):
+    """Dates decide; the text does only where the earliest messages of an id are of both kinds."""
+    from threadlens.operators.threads import first_inbound, unique_tweets
+
+    rows = [
+        ("1", 5, "b", True), ("1", 3, "z", False), ("2", None, "a", True), ("2", 9, "b", False), ("3", 4, "b", True), ("3", 4, "a", False),
+        ("4", 4, "a", True), ("4", 4, "a", False), ("5", None, "b", True), ("5", None, "a", False), ("6", 1, None, True), ("6", 1, "x", False),
+    ]
+    tweets = spark.createDataFrame(rows, "tweet_id string, s long, text string, inbound boolean").withColumn(
+        "created_at", F.timestamp_seconds("s")).drop("s")
+    expected = {r["tweet_id"]: r["inbound"] for r in unique_tweets(tweets, "created_at", "text", "inbound").collect()}
+    found = {r["tweet_id"]: r["inbound"] for r in first_inbound(tweets).collect()}
+    assert found == expected and len(found) == 6

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.scalars import first_listed_id, seconds_between
-from threadlens.operators.lookup import heavy_buckets, salted_lookup
+from threadlens.operators.lookup import broadcast_checked, heavy_buckets, salted_lookup
 
 PAIR_COLUMNS = [
     "customer_tweet_id", "customer_text", "customer_created_at", "prior_context",
@@ -33,6 +33,23 @@ def unique_tweets(tweets: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def first_inbound(tweets: DataFrame) -> DataFrame:
+    """Per ``tweet_id`` whether its first message (as in ``unique_tweets``) is inbound.
+
+    Dates decide without the texts; only messages of ids whose earliest ones are of both kinds are
+    compared by text, so texts of no others are shuffled.
+    """
+    undated = F.col("created_at").isNull().alias("_undated")
+    first = tweets.groupBy("tweet_id").agg(
+        F.min(F.struct(undated, "created_at", F.col("inbound").alias("_in"))).alias("_low"),
+        F.min(F.struct(undated, "created_at", (~F.col("inbound")).alias("_out"))).alias("_high"),
+    ).select("tweet_id", F.col("_low._in").alias("inbound"), (~F.col("_high._out")).alias("_other"))
+    same = F.col("inbound").eqNullSafe(F.col("_other"))
+    tied = tweets.join(broadcast_checked(first.filter(~same).select("tweet_id")), "tweet_id", "left_semi")
+    by_text = unique_tweets(tied, "created_at", "text", "inbound").select("tweet_id", "inbound")
+    return first.filter(same).drop("_other").unionByName(by_text)
+
+
 def _key_counts(tweets: DataFrame, brand: str) -> DataFrame:
     """Per id, how often it is a brand reply's parent, a brand reply's follow-up, a customer's parent."""
     parent, reply = F.col("in_response_to_tweet_id"), ~F.col("inbound") & (F.col("author_id") == brand)
@@ -99,7 +116,8 @@ def pair_drop_counts(tweets: DataFrame, brand: str) -> DataFrame:
         .groupBy(F.col("in_response_to_tweet_id").alias("tweet_id"))
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    found = unique_tweets(tweets, "text", "inbound").select("tweet_id", "inbound")
+    answered = tweets.filter(F.col("tweet_id").isNotNull()).select("tweet_id", "created_at", "text", "inbound")
+    found = first_inbound(answered)
     rows = F.col("_rows")
     total = lambda condition: F.coalesce(F.sum(F.when(condition, rows)), F.lit(0)).cast("bigint")
     return parents.join(found, "tweet_id", "left").agg(
