@@ -111,3 +111,19 @@ def test_running_counts_of_groups(spark):
     counts = spark.createDataFrame(rows, "g string, x double, n bigint")
     found = {(r["g"], r["x"]): (r["before"], r["total"]) for r in rk.running_counts(counts, "x", ["g"]).collect()}
     assert found == {("a", -1.0): (0, 8), ("a", 2.0): (1, 8), ("a", 7.5): (4, 8), ("b", 5.0): (0, 2)}
+
+
+def test_large_samples_leave_most_rows_where_they_are(spark):
+    """Of a hot group of 200,000 rows little more than the sample reaches the window; short groups stay whole."""
+    df = spark.range(240_000).select(
+        F.col("id"), F.when(F.col("id") % 6 > 0, "hot").when(F.col("id") % 60 == 0, "short").otherwise("cold").alias("g"))
+    df = df.unionByName(spark.createDataFrame([(None, "hot"), (None, "short")], "id bigint, g string"))
+    digest = df.withColumn("_digest", sm.seeded_order(42, F.col("id")))
+    left = {r["g"]: r["count"] for r in sm.up_to_the_nth(digest, "g", 3_000).groupBy("g").count().collect()}
+    assert all(3_000 <= left[g] < 3_050 for g in ("hot", "cold", "short"))
+    for n in (1_001, 3_000, 50_000):
+        found = sm.sample_per_group(df, "g", "id", n, 42)
+        rows = sorted((r["g"], r["_digest"] or "", -1 if r["id"] is None else r["id"]) for r in digest.collect())
+        for g in ("hot", "cold", "short"):
+            mine = [i for name, _, i in rows if name == g][:n]
+            assert sorted(r["id"] if r["id"] is not None else -1 for r in found.filter(F.col("g") == g).collect()) == sorted(mine)

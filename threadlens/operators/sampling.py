@@ -10,20 +10,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.functions.scalars import row_mean, score_bin, seeded_order
-from threadlens.operators.ranking import number_by_hash, top_n_per_group
+from threadlens.operators.lookup import broadcast_checked
+from threadlens.operators.ranking import GROUP_LIMIT_CONF, number_by_hash, top_n_per_group
 from threadlens.session import cut_lineage
 
 EMPTY_LABELS = ("gold_intent", "gold_escalate", "escalate_reason", "labeler_notes")
 DIMENSIONS = ("correctness", "tone", "actionability")
+CELL_DIGITS = 4  # of a digest
 
 
 def sample_per_group(df: DataFrame, by: str, key: str, n: int, seed: int) -> DataFrame:
     """Up to ``n`` random rows of each non-null group."""
     order = [F.col("_digest"), F.col(key)]
     drawn = df.filter(F.col(by).isNotNull()).withColumn("_digest", seeded_order(seed, F.col(key)))
+    if n > int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000")):
+        drawn = up_to_the_nth(drawn, by, n)
     return top_n_per_group(drawn, [by], order, n).drop("_digest", "_rank")
 
 
+def up_to_the_nth(drawn: DataFrame, by: str, n: int) -> DataFrame:
+    """Rows of each group whose digest begins no higher than that of the group's ``n``-th row.
+
+    Counts per first digits of the digest, combined before the shuffle, say where that row lies; all beyond it stay where
+    they are. Of a group of any size about ``n`` rows and one cell of 1/65,536 of it go on.
+    """
+    cell = F.substring("_digest", 1, CELL_DIGITS)
+    cells = drawn.groupBy(by, cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_rows"))
+    until = F.sum("_rows").over(W.partitionBy(by).orderBy("_cell"))  # a row per cell
+    ends = cells.withColumn("_until", until).filter(F.col("_until") >= n).groupBy(by).agg(F.min("_cell").alias("_end"))
+    return drawn.join(broadcast_checked(ends), by, "left").filter(F.coalesce(cell <= F.col("_end"), F.lit(True))).drop("_end")
+
+
 def sample_listed(df: DataFrame, by: str, groups: Sequence[str], key: str, n: int, seed: int) -> DataFrame:
     """The strata of the listed groups in one table: up to ``n`` random rows of each, none of other groups."""
     return sample_per_group(df.filter(F.col(by).isin(list(groups))), by, key, n, seed)
