@@ -185,7 +185,7 @@ def cluster(
         inertia(F.col("total"), F.col("lost")).alias("inertia"))
     names = table.sparkSession.createDataFrame(
         [(c, ",".join(map(str, v))) for c, v in enumerate(centroids)], "cluster int, centroid string")
-    totals = each.join(names, "cluster").join(F.broadcast(every)).select("cluster", "cluster_inertia", "inertia", "centroid")
+    totals = each.join(names, "cluster").withColumn("inertia", every.scalar()).select("cluster", "cluster_inertia", "inertia", "centroid")
     # a row per centroid
     return assigned.join(F.broadcast(totals), "cluster").select(
         F.col("key").alias(key), "cluster", "distance", "cluster_inertia", "inertia", "centroid")
