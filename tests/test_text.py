@@ -218,6 +218,37 @@ def test_visits_grow_with_pool_and_queries(spark, monkeypatch):
     assert 0 < more < 0.1 * many * shards / 3
 
 
+def test_queries_and_messages_are_not_repeated_in_shuffles(spark, monkeypatch):
+    """Many blocks of queries and many shards: pairs of them are made where they are compared."""
+    monkeypatch.setattr(rt, "POOL_BLOCK", 4_000)
+    monkeypatch.setattr(rt, "QUERY_BLOCK", 20)
+    pool = large_pool(spark, 1_200)
+    queries = pool.filter(F.col("brand_tweet_id").endswith("3")).select(
+        F.col("brand_tweet_id").alias("q"), F.col("customer_text").alias("t"), F.col("intent").alias("i"))
+    found = rt.Retriever(pool, fe.TextOptions(min_df=1, pairs=False), exclude=None).matches(queries, "q", "t", "i")
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "explode(sequence" not in plan
+    assert found.count() == 3 * 120
+
+
+def test_screened_products_are_exact(monkeypatch):
+    """Candidates by 32-bit products, computed with 64 bits, give what the whole matrix gives."""
+    rng = np.random.default_rng(6)
+    (pool_ids, pool_w), (ids, w) = vectors(rng, 300, 50, 20), vectors(rng, 40, 50, 20)
+    pool_ids, pool_w = pool_ids + pool_ids[:50], pool_w + pool_w[:50]  # equal texts tie
+    messages = pa.table({"_pool": [f"p{i:03d}" for i in rng.permutation(350)], "_ids": pool_ids, "_weights": pool_w})
+    visits = pa.table({"_mark": [f"m{q}" for q in range(40)], "_ids": ids, "_weights": w, "_floor": [0.1] * 40})
+    monkeypatch.setattr(rt, "DENSE_SHARE", 0.0)
+    monkeypatch.setattr(rt, "CHUNK_ROWS", 16)
+    found, taken, take = [], [], rt._Best._take
+    monkeypatch.setattr(rt._Best, "_take", lambda *a: taken.append(1) or take(*a))
+    for share in (-1.0, 1.0):
+        monkeypatch.setattr(rt, "EXACT_SHARE", share)
+        found.append(sorted((r["_mark"], r["_pool"], r["similarity"]) for r in rt._scorer(3)(messages, visits).to_pylist()))
+        assert bool(taken) == (share > 0)
+    assert found[0] == found[1] and len(found[0]) > 100
+
+
 def test_repeated_query_ids_and_many_intents(spark):
     intents = [f"i{n}" for n in range(450)]
     pool = spark.createDataFrame(
