@@ -152,6 +152,21 @@ def test_a_stopped_run_goes_on_where_it_was(spark, tmp_path, monkeypatch):
     assert resume.output(spark, path).count() == 200
 
 
+def test_a_part_is_dealt_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Two parts of one table: no task gets the half of it."""
+    staged = str(tmp_path / "dealt")
+    monkeypatch.setattr(resume, "scratch_path", lambda *_: staged)
+    monkeypatch.setattr(resume, "pending", lambda rows, *_: rows)
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    try:
+        resume.append_new(spark.range(4_000), str(tmp_path / "out"), "id", lambda df: df, commits=2)
+    finally:
+        spark.conf.unset(merge)
+    sizes = [r["count"] for r in spark.read.parquet(staged).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 4_000 and max(sizes) < 800
+
+
 def test_rows_without_an_id_are_done_once(spark, tmp_path):
     path = str(tmp_path / "nameless")
     rows = spark.createDataFrame([(None, "x"), (None, "a"), ("b", "y")], "example_id string, body string")

@@ -93,7 +93,8 @@ def append_new(
     if parts > 1:
         staged = scratch_path(spark, "dealt")
         spread = rows.withColumn("_part", part_of(key, parts))
-        spread.repartition("_part").write.partitionBy("_part").parquet(staged)
+        # By id too: a part's rows come from many tasks, however few the parts are.
+        spread.repartition("_part", key).write.partitionBy("_part").parquet(staged)
         dealt = spark.read.schema(spread.schema).parquet(staged)
     for number in range(parts):
         if number in noted:
