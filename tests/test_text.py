@@ -290,3 +290,26 @@ def test_classifier_learns_saves_and_loads(spark, tmp_path):
     first = [r["pred"] for r in model.predict(fresh, "t").collect()]
     assert first[:2] == ["power", "display"] and first[2] in ("power", "display")
     assert [r["pred"] for r in loaded.predict(fresh, "t").collect()] == first
+
+
+def test_slopes_by_hand(spark):
+    """The derivatives of the penalised loss, against dense matrices; no row carries all weights."""
+    rows = [(f"battery drains w{i % 5}", "power") for i in range(30)] + [(f"screen w{i % 5} battery", "display") for i in range(9)]
+    rows += [("w1 w2 hello", "other"), (None, "other"), ("no label", None)]
+    train = spark.createDataFrame(rows, "t string, intent string")
+    model = cl.fit_classifier(train, "t", fe.TextOptions(min_df=1), max_iter=2)
+    known = model.text_model.vectors(train.filter("intent IS NOT NULL"), "t", "v").select("v", "intent").collect()
+    x, w = np.array([r["v"].toArray() for r in known]), model.regression.coefficientMatrix.toArray()
+    y = np.array([[r["intent"] == name for name in model.labels] for r in known], float)
+    weight = (len(y) / (3 * y.sum(axis=0)))[y.argmax(axis=1)]
+    m = x @ w.T + model.regression.interceptVector.toArray()
+    p = np.exp(m) / np.exp(m).sum(axis=1, keepdims=True)
+    miss = (p - y) * weight[:, None]
+    slopes = np.hstack([miss.T @ x / weight.sum() + w / len(y), miss.sum(axis=0)[:, None] / weight.sum()])
+    found = {r["intent"]: (r["n"], r["steepest"]) for r in cl.gradient(model, train, "t").collect()}
+    assert {c: n for c, (n, _) in found.items()} == {"power": 30, "display": 9, "other": 2}
+    assert [found[c][1] for c in model.labels] == pytest.approx(np.abs(slopes).max(axis=1).tolist())
+    margins = model.margins(train, "t", "m")
+    assert "scalar-subquery" not in margins._jdf.queryExecution().analyzed().toString()
+    got = [r["m"] for r in margins.filter("intent IS NOT NULL").collect()]
+    assert np.array(got) == pytest.approx(m)
