@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from threadlens.operators import classify as cl
 from threadlens.operators import cluster as cu
 from threadlens.operators import features as fe
 from threadlens.operators import retrieve as rt
+from threadlens.operators import term_counts as tc
 
 TEXTS = [
     (1, "battery battery drains fast"), (2, "Battery drains"), (3, "screen is black, battery fine"), (4, ""), (5, None),
@@ -52,6 +54,58 @@ def test_tfidf_by_hand(spark):
     assert len(empty) == 5 and empty[4] == empty[5] == 0
 
 
+def zipf_texts(rows=400, words=300):
+    rng = np.random.default_rng(3)
+    pick = lambda: " ".join(f"w{int(i) % words}" for i in rng.zipf(1.3, size=rng.integers(0, 40)))
+    return [(i, pick()) for i in range(rows)] + [(rows, None), (rows, ""), (None, "w1 w1 w1 w2"), (3, "ÄÖ äö 𠀀𠀁 w1")]
+
+
+@pytest.mark.parametrize("most, min_df, pairs, pattern", [
+    (20, 2, True, WORD), (20, 2, False, WORD), (5000, 1, True, WORD), (40, 30, True, WORD), (25, 2, True, "w[0-9]+( w1)?"),
+])
+def test_vocabulary_and_weights_match_all_terms(spark, most, min_df, pairs, pattern):
+    df = spark.createDataFrame(zipf_texts(), "id int, t string")
+    options = fe.TextOptions(most, min_df, pattern, ("w5",), pairs)
+    grams = [r["g"] for r in options.grams(df, "t", "g").collect()]
+    total, documents = Counter(g for row in grams for g in row), Counter(g for row in grams for g in set(row))
+    wanted = sorted((-n, t, documents[t]) for t, n in total.items() if documents[t] >= min_df)[:most]
+    assert [tuple(r) for r in fe.vocabulary(df, "t", options).collect()] == [(t, d, -n) for n, t, d in wanted]
+    model = fe.fit_text_model(df, "t", options)
+    by_vector = Counter(
+        (r["id"], model.terms[i], round(float(v), 9)) for r in model.vectors(df, "t").collect()
+        for i, v in zip(r["features"].indices, r["features"].values))
+    assert Counter((r["id"], r["term"], round(r["weight"], 9)) for r in model.weights(df, "t", "id").collect()) == by_vector
+
+
+def test_rare_pairs_are_not_counted_one_by_one(spark, monkeypatch):
+    """Ten words in 200 texts are the vocabulary's size; of 2,000 pairs only the frequent one can be among the terms."""
+    texts = [(" ".join([f"a{j}" for j in range(10)] + [f"x{i}y{j}" for j in range(9)] + ["a0 a1"]),) for i in range(200)]
+    asked, count_pairs = [], fe.count_pairs
+    monkeypatch.setattr(fe, "count_pairs", lambda buckets: asked.append(len(buckets)) or count_pairs(buckets))
+    found = fe.vocabulary(spark.createDataFrame(texts, "t string"), "t", fe.TextOptions(10, 1, stop=())).collect()
+    assert [tuple(r) for r in found[:4]] == [("a0", 200, 400), ("a0 a1", 200, 400), ("a1", 200, 400), ("a1 a2", 200, 200)]
+    assert len(asked) == 1 and 0 < asked[0] < 30
+
+
+def test_counts_do_not_depend_on_how_rows_are_cut(monkeypatch):
+    rows = [["a", "b", "a", "b"], [], ["b"], ["c", "a", "b"] * 5, ["a"]]
+    batch = pa.RecordBatch.from_arrays([pa.array([["z", "z"], *rows])], names=["w"]).slice(1)
+    every = np.arange(tc.BUCKETS)
+
+    def added():
+        total = Counter()
+        for part in (*tc.tally(True)([batch]), *tc.count_pairs(every)([batch])):
+            for r in part.to_pylist():
+                total[r["term"], r["bucket"]] += 1000 * r["df"] + r["total"]
+        return total
+
+    whole = added()
+    assert whole["a", None] == 3008 and whole["a b", None] == 2007 and whole["b a", None] == 1001
+    assert sum(n for (term, _), n in whole.items() if term is None) == 3 + 14
+    monkeypatch.setattr(tc, "PIECE_WORDS", 3)
+    assert added() == whole
+
+
 def test_silhouette_matches_brute_force(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(60, 4)) + np.repeat([[0.0], [1.5], [3.0]], 20, axis=0)
