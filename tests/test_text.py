@@ -303,6 +303,75 @@ def test_screened_products_are_exact(monkeypatch):
     assert found[0] == found[1] and len(found[0]) > 100
 
 
+def test_rare_terms_are_no_columns_of_a_matrix(monkeypatch):
+    """Of 2,000 terms, 20 are frequent; the others are added pair by pair, with the same similarities."""
+    rng = np.random.default_rng(9)
+
+    def table(mark, n):
+        ids = [np.unique([*rng.choice(20, 8, False), *rng.integers(20, 2000, 5)]) for _ in range(n)]
+        weights = [rng.random(len(i)) for i in ids]
+        weights = [w / np.linalg.norm(w) for w in weights]
+        return pa.table({mark: [f"{i:04d}" for i in range(n)], "_ids": pa.array([i.tolist() for i in ids], pa.list_(pa.int32())),
+                         "_weights": [w.tolist() for w in weights]}), ids, weights
+
+    messages, ids, weights = table("_pool", 1500)
+    asked, asked_ids, asked_weights = table("_mark", 40)
+    visits = asked.append_column("_floor", pa.array(np.zeros(40)))
+    pool, queries = np.zeros((1500, 2000)), np.zeros((40, 2000))
+    for matrix, i, w in ((pool, ids, weights), (queries, asked_ids, asked_weights)):
+        for row, (at, value) in enumerate(zip(i, w)):
+            matrix[row, at] = value
+    product = np.round(queries @ pool.T, rt.DIGITS)
+    wanted = [(f"{q:04d}", f"{m:04d}", product[q, m]) for q in range(40) for m in np.lexsort((np.arange(1500), -product[q]))[:3]]
+    columns, products = [], rt._Products
+    monkeypatch.setattr(rt, "_Products", lambda *a: columns.append(products(*a)) or columns[-1])
+    found = rt._scorer(3)(messages, visits).to_pylist()
+    assert sorted((r["_mark"], r["_pool"], r["similarity"]) for r in found) == sorted(wanted)
+    assert [len(c.matrix) for c in columns] == [20]
+
+
+@pytest.mark.parametrize("most, min_df, pairs, groups", [(20, 2, True, 10_000), (20, 2, True, 1), (5000, 1, True, 10_000), (15, 1, False, 10_000)])
+def test_grouped_vocabulary_matches_all_terms(spark, monkeypatch, most, min_df, pairs, groups):
+    monkeypatch.setattr(fe, "MOST_GROUPS", groups)
+    rows = [(g, t) for i, (_, t) in enumerate(zipf_texts()) for g in [("a", "b", "c", None)[min(i % 7, 3)]]]
+    df, options = spark.createDataFrame(rows, "g string, t string"), fe.TextOptions(most, min_df, WORD, ("w5",), pairs)
+    grams = [(r["g"], r["w"]) for r in options.grams(df, "t", "w").collect()]
+    wanted = []
+    for name in {g for g, _ in grams}:
+        total, documents = Counter(), Counter()
+        for _, row in (x for x in grams if x[0] == name):
+            total.update(row)
+            documents.update(set(row))
+        kept = sorted((-n, t) for t, n in total.items() if documents[t] >= min_df)[:most]
+        wanted += [(name, t, documents[t], -n) for n, t in kept]
+    found = fe.grouped_vocabulary(df, "t", "g", options).select("g", "term", "df", "total").collect()
+    assert Counter(map(tuple, found)) == Counter(wanted)
+
+
+def test_rare_pairs_of_groups_are_not_counted_one_by_one(spark, monkeypatch):
+    """Each group's ten words are its vocabulary's size; of 2,000 pairs only the frequent ones leave the tasks."""
+    texts = [(g, " ".join([f"{g}{j}" for j in range(10)] + [f"x{i}y{j}" for j in range(9)] + [f"{g}0 {g}1"])) for i in range(200) for g in "ab"]
+    seen, count = [], fe.count_group_pairs
+
+    def spied(loads, least):
+        seen.append((sum(int((loads >= bar).sum()) for bar in least.values()), least))
+        return count(loads, least)
+
+    monkeypatch.setattr(fe, "count_group_pairs", spied)
+    found = fe.grouped_vocabulary(spark.createDataFrame(texts, "g string, t string"), "t", "g", fe.TextOptions(10, 1, stop=())).collect()
+    assert {("a", "a0 a1", 200, 400), ("b", "b0 b1", 200, 400)} <= {(r.g, r.term, r.df, r.total) for r in found}
+    assert len(seen) == 1 and seen[0][0] < 100 and seen[0][1] == {"a": 200, "b": 200}
+
+
+def test_weights_of_a_group_use_its_own_terms():
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3, 4]), pa.array(["x", "y", "z", None]), pa.array([["p", "q", "r"]] * 4)], names=["id", "g", "w"])
+    run = tc.weigh(["p", "p q", "p", "q r"], [3.0, 4.0, 1.0, 1.0], True, ["x", "x", "y", "y"])
+    found = pa.Table.from_batches(list(run([batch]))).to_pydict()
+    assert found["id"] == [1, 2, 3, 4] and found["_positions"] == [[0, 1], [2, 3], [], []]
+    assert np.allclose(found["_weights"][0], [0.6, 0.8]) and np.allclose(found["_weights"][1], [0.5**0.5] * 2)
+
+
 def test_repeated_query_ids_and_many_intents(spark):
     intents = [f"i{n}" for n in range(450)]
     pool = spark.createDataFrame(
